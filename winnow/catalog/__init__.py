@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("split_queries", "feature_queries", "metric_queries")
+_MODULES = (
+    "split_queries", "feature_queries", "metric_queries", "vector_queries", "drift_queries", "lookup_queries",
+    "model_queries",
+)
 
 
 def _load() -> None:

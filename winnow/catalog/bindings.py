@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from winnow.catalog.registry import TIE_SHIFT
 from winnow.functions.tags import slug
 from winnow.operators import splits
 from winnow.operators.features import stat_columns
@@ -137,8 +138,8 @@ def drift_log(spark: SparkSession, sf: str) -> DataFrame:
 # --- the same inputs as SQL -------------------------------------------------
 
 def R(expression: str) -> str:
-    """Rounded double without a negative zero."""
-    return f"(round(cast({expression} as double), 6) + 0e0)"
+    """A double rounded the way ``registry.rounded`` does it."""
+    return f"(round(cast({expression} as double) + {TIE_SHIFT}, 6) + 0e0)"
 
 
 RATINGS_SQL = """ratings as (

@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Far below the last digit kept.  Exact halves such as k/64 would otherwise be
+# rounded up or down by the last bit of a sum, which depends on row order.
+TIE_SHIFT = 1.7e-9
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,7 +34,7 @@ def rounded(df: DataFrame) -> DataFrame:
     def tidy(field: T.StructField):
         c = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            return (F.round(c.cast("double"), 6) + F.lit(0.0)).alias(field.name)
+            return (F.round(c.cast("double") + F.lit(TIE_SHIFT), 6) + F.lit(0.0)).alias(field.name)
         return c
 
     return df.select(*[tidy(f) for f in df.schema.fields])
