@@ -20,9 +20,10 @@ PCT = {f"p{round(p * 100):02d}": p for p in drift.PERCENTILES}
 def _train_long(spark, sf):
     data = split(spark, sf)
     p = parts(spark, sf, data)
-    long = drift.to_long(p.matrix(part_of(data, "train"), ["user_id", "item_id"]), NUMERIC)
-    # Written once: quantiles read the rows several times.
-    return materialize(long.withColumn("value", F.round("value", 6)))
+    wide = p.matrix(part_of(data, "train"), ["user_id", "item_id"])
+    # Written once in wide form: the statistics read the rows several times.
+    rounded = materialize(wide.select(*[F.round(c, 6).alias(c) for c in NUMERIC]))
+    return drift.to_long(rounded, NUMERIC)
 
 
 @query("feature_baseline", f"""with {FEATURES} select feature, {R('avg(value)')} as mean,

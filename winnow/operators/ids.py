@@ -89,7 +89,7 @@ def negative_samples(pairs: DataFrame, n_items: int, per_positive: int = 4, seed
     start = F.pmod(seeded_int(seed, user_idx, item_idx), F.lit(n_items))
     known = seen.select(F.col(user_idx), F.col(item_idx).alias("neg_idx"))
     todo = seen.withColumn("__start", start).withColumn("__have", F.lit(0).cast("long"))
-    lo, width = 0, 4 * per_positive
+    lo, width = 0, 2 * per_positive
     rounds: list[DataFrame] = []
     w = Window.partitionBy(user_idx, item_idx).orderBy("__r")
     while True:

@@ -8,7 +8,9 @@ sorted globally and no group is gathered in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import ceil, floor
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,65 +28,115 @@ def _as_long(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return c.cast("long")
-    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     if isinstance(kind, T.DateType):
-        return days
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("long")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(c)
     if isinstance(kind, T.TimestampNTZType):
-        seconds = F.extract(F.lit("SECOND"), c)
-        minutes = (days * 24 + F.hour(c)) * 60 + F.minute(c)
-        return minutes * 60_000_000 + (seconds * 1_000_000).cast("long")
+        # An interval, so no time zone is involved.
+        return F.expr(f"(`{name}` - TIMESTAMP_NTZ '1970-01-01 00:00:00') div INTERVAL '0.000001' SECOND")
     raise TypeError(f"{name}: order keys must be integers, dates or timestamps, not {kind}")
 
 
-def row_at(df: DataFrame, keys: Sequence[str], position: int, *, fetch_rows: int = FETCH_ROWS,
-           buckets: int = BUCKETS) -> dict[str, Column]:
-    """Key values of the row at a 1-based position in the total order of ``keys``.
+def _histogram(scope: DataFrame, key: str, lo: int, hi: int, buckets: int) -> list:
+    """Rows and key range per equally wide bucket; at most ``buckets`` rows."""
+    width = (hi - lo) // buckets + 1
+    return (
+        scope.groupBy(F.expr(f"({key} - {lo}L) div {width}L").alias("b"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+        .orderBy("b")
+        .collect()
+    )
+
+
+def _bucket_of(hist: list, rank: int):
+    """The bucket holding the 1-based ``rank`` and the rank inside it."""
+    for bucket in hist:
+        if rank <= bucket["n"]:
+            break
+        rank -= bucket["n"]
+    return bucket, rank
+
+
+def rows_at(df: DataFrame, keys: Sequence[str], ratios: Sequence[float], *,
+            fetch_rows: int = FETCH_ROWS, buckets: int = BUCKETS) -> list[dict[str, Column] | None]:
+    """Key values of the rows at positions ``int(n * ratio)`` of the order of ``keys``.
 
-    Returned as literal columns of the original types, so that comparing with
-    them can be pushed down to the scan.
+    The keys are unique together and never null.  Values come back as literals
+    of the original types, so that comparing with them reaches the scan; a
+    position of 0 gives None.
     """
     longs = [f"__k{i}" for i in range(len(keys))]
     scope = df.select(
         *[F.col(k).cast("string").alias(k) for k in keys],
         *[_as_long(df, k).alias(n) for k, n in zip(keys, longs)],
     )
-    rank = position
+    missing = F.count_if(reduce(or_, [F.col(k).isNull() for k in longs]))
+    lo, hi, n, nulls = scope.agg(
+        F.min(longs[0]), F.max(longs[0]), F.count(F.lit(1)), missing
+    ).first()
+    if nulls:
+        raise ValueError(f"{nulls} rows have no value in one of the order keys {list(keys)}")
+    first = _histogram(scope, longs[0], lo, hi, buckets) if n > fetch_rows and lo != hi else None
+    picks = []
+    for at, ratio in enumerate(ratios):
+        rank = int(n * ratio)
+        if rank < 1:
+            continue
+        bounds, inside = (lo, hi, n), scope
+        if first:
+            bucket, rank = _bucket_of(first, rank)
+            bounds = (bucket["lo"], bucket["hi"], bucket["n"])
+            inside = scope.where(F.col(longs[0]).between(*bounds[:2]))
+        picks.append(_row_at(inside, longs, rank, bounds, fetch_rows, buckets).withColumn("__at", F.lit(at)))
+    found = {r["__at"]: r for r in reduce(DataFrame.unionAll, picks).collect()} if picks else {}
+    return [
+        {k: F.lit(found[at][k]).cast(df.schema[k].dataType) for k in keys} if at in found else None
+        for at in range(len(ratios))
+    ]
+
+
+def _row_at(scope: DataFrame, longs: Sequence[str], rank: int, bounds: tuple, fetch_rows: int,
+            buckets: int) -> DataFrame:
+    """Narrows one key after the other until few rows are left; one row of these is asked for."""
+    lo, hi, n = bounds
     for depth, key in enumerate(longs):
-        lo, hi, n = scope.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+        if depth:
+            lo, hi, n = scope.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
         while lo != hi and n > fetch_rows:
-            width = (hi - lo) // buckets + 1
-            hist = (
-                scope.groupBy(F.expr(f"({key} - {lo}L) div {width}L").alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
-                .orderBy("b")
-                .collect()  # at most `buckets` rows
-            )
-            for bucket in hist:
-                if rank <= bucket["n"]:
-                    break
-                rank -= bucket["n"]
+            bucket, rank = _bucket_of(_histogram(scope, key, lo, hi, buckets), rank)
             lo, hi, n = bucket["lo"], bucket["hi"], bucket["n"]
             scope = scope.where(F.col(key).between(lo, hi))
-        if n <= fetch_rows or depth == len(longs) - 1:
-            # `n` is known to be small here, or all remaining rows are equal.
-            row = scope.orderBy(*longs).limit(min(rank, fetch_rows)).collect()[-1]
+        if n <= fetch_rows:
             break
         scope = scope.where(F.col(key) == lo)
-    return {k: F.lit(row[k]).cast(df.schema[k].dataType) for k in keys}
+    else:
+        rank = 1  # more than `fetch_rows` rows agree in every key
+    return scope.orderBy(*longs).offset(rank - 1).limit(1)
 
 
 def at_or_before(bound: dict[str, Column]) -> Column:
-    """Lexicographic ``keys <= bound``."""
+    """Lexicographic ``keys <= bound``.
+
+    The leading comparison follows from the rest and is repeated in a form the
+    file scan understands.
+    """
     names = list(bound)
     out = F.col(names[-1]) <= bound[names[-1]]
     for name in reversed(names[:-1]):
         out = (F.col(name) < bound[name]) | ((F.col(name) == bound[name]) & out)
-    # Repeats what follows from the rest, in a form the file scan understands.
     return (F.col(names[0]) <= bound[names[0]]) & out
 
 
+def after(bound: dict[str, Column]) -> Column:
+    """Lexicographic ``keys > bound``."""
+    names = list(bound)
+    out = F.col(names[-1]) > bound[names[-1]]
+    for name in reversed(names[:-1]):
+        out = (F.col(name) > bound[name]) | ((F.col(name) == bound[name]) & out)
+    return (F.col(names[0]) >= bound[names[0]]) & out
+
+
 def quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], *,
               direct_rows: int = DIRECT_ROWS, buckets: int = 64) -> DataFrame:
     """Exact linear-interpolated quantiles of a double column per group.

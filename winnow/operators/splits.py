@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnow.operators.order_stats import at_or_before, row_at
+from winnow.operators.order_stats import after, at_or_before, rows_at
 
 # Fixed values
 SPLITS = ("train", "val", "test")
@@ -17,19 +17,18 @@ def time_split(df: DataFrame, order_keys: Sequence[str], train_ratio: float = 0.
                val_ratio: float = 0.1) -> DataFrame:
     """Adds ``split``: the first share of rows in time is train, then val, then test.
 
-    ``order_keys`` must be unique together.  Only the two boundary rows are
-    looked up; every row is then labelled by comparison, without a shuffle.
+    ``order_keys`` are unique together and never null.  Only the two boundary
+    rows are looked up; no row is sorted or shuffled.  The result stacks three
+    range filters with a constant label, so a later filter on ``split`` drops
+    the other branches and its range reaches the scan.
     """
-    n = df.count()
-    bounds = [
-        row_at(df, order_keys, pos) if pos > 0 else None
-        for pos in (int(n * train_ratio), int(n * (train_ratio + val_ratio)))
-    ]
-    never = F.lit(False)
-    train_end, val_end = [at_or_before(b) if b else never for b in bounds]
-    return df.withColumn(
-        "split", F.when(train_end, "train").when(val_end, "val").otherwise("test")
-    )
+    train_end, val_end = rows_at(df, order_keys, (train_ratio, train_ratio + val_ratio))
+    train = df.where(at_or_before(train_end)) if train_end else df.where(F.lit(False))
+    val = df.where(at_or_before(val_end)) if val_end else df.where(F.lit(False))
+    val = val.where(after(train_end)) if train_end else val
+    test = df.where(after(val_end)) if val_end else df
+    labelled = [part.withColumn("split", F.lit(name)) for part, name in zip((train, val, test), SPLITS)]
+    return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
 
 
 def minimum_history(split: DataFrame, min_rows: int = 5, user: str = "user_id") -> DataFrame:
