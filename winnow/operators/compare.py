@@ -23,7 +23,10 @@ def compare_models(scored: DataFrame, models: Sequence[str], *, model: str = "mo
 
     ``models`` fixes the order; earlier models win ties.
     """
-    metrics = evaluate_scores(scored, group=[model], ties=ties)
+    # Sums depend on row order in their last bits; equal models must compare equal.
+    metrics = evaluate_scores(scored, group=[model], ties=ties).withColumns(
+        {m: F.round(m, 12) for m in DIRECTIONS}
+    )
     long = metrics.select(model, *DIRECTIONS).unpivot([model], list(DIRECTIONS), "metric", "value")
     wide = long.groupBy("metric").pivot(model, list(models)).agg(F.first("value"))
     better = F.col("metric").isin([m for m, up in DIRECTIONS.items() if up])

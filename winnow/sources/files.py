@@ -34,8 +34,11 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "::", encoding: str = "UTF-8") -> None:
-    line = F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns])
-    df.select(line.alias("value")).write.mode("overwrite").option("encoding", encoding).text(path)
+    """The counterpart of :func:`read_delimited`."""
+    (
+        df.write.mode("overwrite").option("sep", sep).option("encoding", encoding)
+        .option("quote", "\u0000").option("escapeQuotes", False).csv(path)
+    )
 
 
 def write_splits(split: DataFrame, path: str) -> None:
