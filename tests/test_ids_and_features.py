@@ -126,7 +126,7 @@ def test_batches_are_full_and_shuffled(spark):
 
 
 def test_random_rank_is_a_permutation_per_user(spark):
-    df = spark.range(3).withColumnRenamed("id", "user").crossJoin(spark.range(40).withColumnRenamed("id", "idx"))
+    df = spark.range(120).select((F.col("id") % 3).alias("user"), F.expr("id div 3").alias("idx"))
     out = ids.random_rank(df, 40, 5, user="user", item_idx="idx").toPandas()
     for _, g in out.groupby("user"):
         assert sorted(g["rank"]) == list(range(1, 41))

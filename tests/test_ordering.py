@@ -30,6 +30,8 @@ def test_split_cuts_inside_a_hot_timestamp(spark, monkeypatch, fetch_rows):
     for bound, position in zip(found, (80, 90)):
         row = spark.range(1).select(bound["ts"], bound["id"]).first()
         assert tuple(row) == ordered[position - 1]
+    early = order_stats.rows_at(df, ["ts", "id"], (0.3,))[0]
+    assert list(early) == ["ts"]
     assert labels(splits.time_split(df, ["ts", "id"]), ["ts", "id"]) == expected(100, 0.8, 0.1)
 
 

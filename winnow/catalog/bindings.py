@@ -143,7 +143,7 @@ def drift_log(spark: SparkSession, sf: str) -> DataFrame:
 
 def R(expression: str) -> str:
     """A double rounded the way ``registry.rounded`` does it."""
-    return f"(round(cast({expression} as double) + {TIE_SHIFT}, 6) + 0e0)"
+    return f"(round((cast({expression} as double) + {TIE_SHIFT}) * 1e6) / 1e6 + 0e0)"
 
 
 RATINGS_SQL = """ratings as (

@@ -13,23 +13,24 @@ from winnow.streaming import drift_stream
 
 FEATURES = f"""{stats_ctes()}, {features_sql()},
 t as (select * from features where split = 'train'),
-long as ({' union all '.join(f"select '{c}' as feature, round(cast({c} as double), 6) as value from t" for c in NUMERIC)})"""
+exact as ({' union all '.join(f"select '{c}' as feature, cast({c} as double) as value from t" for c in NUMERIC)}),
+long as (select feature, round(value, 6) as value from exact)"""
 PCT = {f"p{round(p * 100):02d}": p for p in drift.PERCENTILES}
 
 
-def _train_long(spark, sf):
+def _train_long(spark, sf, digits=None):
     data = split(spark, sf)
     p = parts(spark, sf, data)
     wide = p.matrix(part_of(data, "train"), ["user_id", "item_id"])
+    chosen = wide.select(*[F.round(c, digits).alias(c) if digits else F.col(c) for c in NUMERIC])
     # Written once in wide form: the statistics read the rows several times.
-    rounded = materialize(wide.select(*[F.round(c, 6).alias(c) for c in NUMERIC]))
-    return drift.to_long(rounded, NUMERIC)
+    return drift.to_long(materialize(chosen), NUMERIC)
 
 
 @query("feature_baseline", f"""with {FEATURES} select feature, {R('avg(value)')} as mean,
   {R('coalesce(nullif(stddev_samp(value), 0), 1e-10)')} as std, {R('min(value)')} as min, {R('max(value)')} as max,
   count(value) as n_samples, {', '.join(f"{R(f'quantile_cont(value, {p})')} as {n}" for n, p in PCT.items())}
-from long group by feature""")
+from exact group by feature""")
 def _(spark, sf):
     return drift.feature_baseline(_train_long(spark, sf))
 
@@ -55,7 +56,8 @@ def histogram_sql(source: str, name: str) -> str:
 @query("baseline_histogram", f"""with {FEATURES}, {edges_sql('long')}, {histogram_sql('long', 'hist')}
 select feature, cast(bin as integer) as bin, {R('lower')} as lower, {R('upper')} as upper, n, {R('share')} as share from hist""")
 def _(spark, sf):
-    long = _train_long(spark, sf)
+    # Edges are values of the column, so their last bits must not depend on row order.
+    long = _train_long(spark, sf, digits=6)
     return drift.histogram(long, drift.histogram_edges(long))
 
 

@@ -34,7 +34,8 @@ def rounded(df: DataFrame) -> DataFrame:
     def tidy(field: T.StructField):
         c = F.col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            return (F.round(c.cast("double") + F.lit(TIE_SHIFT), 6) + F.lit(0.0)).alias(field.name)
+            # Plain double arithmetic; F.round would go through decimals per value.
+            return (F.rint((c.cast("double") + TIE_SHIFT) * 1e6) / 1e6 + F.lit(0.0)).alias(field.name)
         return c
 
     return df.select(*[tidy(f) for f in df.schema.fields])

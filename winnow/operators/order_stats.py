@@ -63,8 +63,9 @@ def rows_at(df: DataFrame, keys: Sequence[str], ratios: Sequence[float], *,
     """Key values of the rows at positions ``int(n * ratio)`` of the order of ``keys``.
 
     The keys are unique together and never null.  Values come back as literals
-    of the original types, so that comparing with them reaches the scan; a
-    position of 0 gives None.
+    of the original types, so that comparing with them reaches the scan.  Only
+    the leading keys needed to separate the row from its successor are given,
+    which spares later scans the other columns.  A position of 0 gives None.
     """
     longs = [f"__k{i}" for i in range(len(keys))]
     scope = df.select(
@@ -89,16 +90,23 @@ def rows_at(df: DataFrame, keys: Sequence[str], ratios: Sequence[float], *,
             bounds = (bucket["lo"], bucket["hi"], bucket["n"])
             inside = scope.where(F.col(longs[0]).between(*bounds[:2]))
         picks.append(_row_at(inside, longs, rank, bounds, fetch_rows, buckets).withColumn("__at", F.lit(at)))
-    found = {r["__at"]: r for r in reduce(DataFrame.unionAll, picks).collect()} if picks else {}
-    return [
-        {k: F.lit(found[at][k]).cast(df.schema[k].dataType) for k in keys} if at in found else None
-        for at in range(len(ratios))
-    ]
+    rows = reduce(DataFrame.unionAll, picks).collect() if picks else []  # two rows per ratio
+    out: list[dict[str, Column] | None] = []
+    for at in range(len(ratios)):
+        pair = sorted((r for r in rows if r["__at"] == at), key=lambda r: [r[n] for n in longs])
+        if not pair:
+            out.append(None)
+            continue
+        # Keys after the first one that differs from the next row decide nothing.
+        differs = [i for i, n in enumerate(longs) if len(pair) == 2 and pair[0][n] != pair[1][n]]
+        needed = keys[: differs[0] + 1] if differs else keys
+        out.append({k: F.lit(pair[0][k]).cast(df.schema[k].dataType) for k in needed})
+    return out
 
 
 def _row_at(scope: DataFrame, longs: Sequence[str], rank: int, bounds: tuple, fetch_rows: int,
             buckets: int) -> DataFrame:
-    """Narrows one key after the other until few rows are left; one row of these is asked for."""
+    """Narrows one key after the other until few rows are left; asks for one row and its successor."""
     lo, hi, n = bounds
     for depth, key in enumerate(longs):
         if depth:
@@ -112,7 +120,7 @@ def _row_at(scope: DataFrame, longs: Sequence[str], rank: int, bounds: tuple, fe
         scope = scope.where(F.col(key) == lo)
     else:
         rank = 1  # more than `fetch_rows` rows agree in every key
-    return scope.orderBy(*longs).offset(rank - 1).limit(1)
+    return scope.orderBy(*longs).offset(rank - 1).limit(2)
 
 
 def at_or_before(bound: dict[str, Column]) -> Column:

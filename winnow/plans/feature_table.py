@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +12,27 @@ from pyspark.sql import functions as F
 from winnow.operators import features as f
 
 
-@dataclass(frozen=True)
+@dataclass
 class FeatureParts:
-    """Everything learnt from train rows, shared by all splits and by serving."""
+    """Everything learnt from train rows, shared by all splits and by serving.
+
+    Only the tag vocabulary needs an action; it runs when first asked for.
+    """
 
     user_stats: DataFrame
     item_stats: DataFrame
     defaults: DataFrame
     demographics: DataFrame
-    multihot: DataFrame
-    vocabulary: list[str]
+    items: DataFrame
+    tag_mode: str = "substring"
+
+    @cached_property
+    def vocabulary(self) -> list[str]:
+        return f.vocabulary_list(self.items)
+
+    @property
+    def multihot(self) -> DataFrame:
+        return f.tag_multihot(self.items, self.vocabulary, mode=self.tag_mode)
 
     @property
     def columns(self) -> list[str]:
@@ -36,14 +48,13 @@ class FeatureParts:
 
 def learn(split: DataFrame, items: DataFrame, users: DataFrame, mode: str = "substring") -> FeatureParts:
     train = split.where(F.col("split") == "train")
-    vocabulary = f.vocabulary_list(items)
     return FeatureParts(
         user_stats=f.entity_stats(train, "user_id", "user"),
         item_stats=f.entity_stats(train, "item_id", "item"),
         defaults=f.cold_start_defaults(train),
         demographics=f.encode_demographics(users),
-        multihot=f.tag_multihot(items, vocabulary, mode=mode),
-        vocabulary=vocabulary,
+        items=items,
+        tag_mode=mode,
     )
 
 
