@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from winnow.functions.hashing import seeded_key
 from winnow.operators.ranks import top_k
+from winnow.runtime import materialize
 
-BLOCK_ROWS = 8192
-_STRIP = 256
+BLOCK_ROWS = 32_768
+MAX_BROADCAST_CELLS = 100_000
+_CELLS = 1 << 22  # similarities held at once inside a task
 
 
 def _similarity(q: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
@@ -35,9 +37,10 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(np.float64)
 
 
-def _strips(queries: pd.DataFrame):
-    for at in range(0, len(queries), _STRIP):
-        yield queries.iloc[at: at + _STRIP]
+def _strips(queries: pd.DataFrame, n_items: int):
+    step = max(1, _CELLS // n_items)
+    for at in range(0, len(queries), step):
+        yield queries.iloc[at: at + step]
 
 
 def _block_top_k(queries: pd.DataFrame, items: pd.DataFrame, k: int, metric: str) -> pd.DataFrame:
@@ -46,7 +49,7 @@ def _block_top_k(queries: pd.DataFrame, items: pd.DataFrame, k: int, metric: str
     ids, matrix = items["item_id"].to_numpy(), _matrix(items["vec"])
     take = min(k, len(ids))
     parts = []
-    for strip in _strips(queries):
+    for strip in _strips(queries, len(ids)):
         s = _similarity(_matrix(strip["vec"]), matrix, metric)
         kth = np.partition(s, len(ids) - take, axis=1)[:, len(ids) - take]
         rows, cols = np.nonzero(s >= kth[:, None])
@@ -68,15 +71,23 @@ def _blocks_per_cell(rows: DataFrame, name: str, block_rows: int) -> DataFrame:
     )
 
 
-def _block_grid(queries: DataFrame, items: DataFrame, block_rows: int):
+def _block_grid(queries: DataFrame, items: DataFrame, block_rows: int, few_cells: bool):
     """Both sides keyed by (cell, query block, item block).
 
+    Each query row is sent once per item block and the other way round, so the
+    shuffle grows with ``rows x rows / block_rows`` and large blocks pay off.
+
     A crowded cell is cut into more blocks on both sides, so the size of a
     group does not depend on how the vectors are distributed over cells.
     """
     grid = _blocks_per_cell(queries, "nq", block_rows).join(
         _blocks_per_cell(items, "ni", block_rows), "cell"
     )
+    if not few_cells:
+        grid = materialize(grid)
+        few_cells = grid.count() <= MAX_BROADCAST_CELLS
+    if few_cells:
+        grid = F.broadcast(grid)
 
     def own(key: str, n: str) -> Column:
         return F.pmod(F.xxhash64(key), F.col(n)).cast("int")
@@ -96,6 +107,8 @@ def _block_grid(queries: DataFrame, items: DataFrame, block_rows: int):
 
 def _search(queries: DataFrame, items: DataFrame, k: int, metric: str, block_rows: int,
             overlapping: bool = False) -> DataFrame:
+    """Top-k over cells; cells that do not overlap are one or one per inverted list."""
+
     def kernel(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
         if q.empty or i.empty:
             return pd.DataFrame({"query_id": [], "item_id": [], "similarity": []})
@@ -105,8 +118,8 @@ def _search(queries: DataFrame, items: DataFrame, k: int, metric: str, block_row
         f"query_id {queries.schema['query_id'].dataType.simpleString()}, "
         f"item_id {items.schema['item_id'].dataType.simpleString()}, similarity double"
     )
-    found = _block_grid(queries, items, block_rows).applyInPandas(kernel, schema)
-    if overlapping:
+    found = _block_grid(queries, items, block_rows, few_cells=not overlapping).applyInPandas(kernel, schema)
+    if overlapping:  # an item can share several buckets with a query
         found = found.distinct()
     best = top_k(found, ["query_id"], [F.desc("similarity"), F.asc("item_id")], k)
     if metric == "l2":
@@ -147,7 +160,8 @@ class InvertedLists:
         features = items.withColumn("features", array_to_vector("vec"))
         self.model = KMeans(k=n_lists, seed=seed, maxIter=max_iter, predictionCol="cell").fit(features)
         self.centers = np.array(self.model.clusterCenters())  # n_lists x dim
-        self.items = self.model.transform(features).select("cell", "item_id", "vec")
+        # Stored once, like any index: every search reads it again.
+        self.items = materialize(self.model.transform(features).select("cell", "item_id", "vec"))
 
     def search(self, queries: DataFrame, k: int, n_probe: int = 10,
                block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -212,12 +226,13 @@ def similarity_moments(queries: DataFrame, items: DataFrame, sample: int = 1000,
         if q.empty or i.empty:
             return pd.DataFrame({"n": [], "mean": [], "m2": [], "lo": [], "hi": []})
         matrix, parts = _matrix(i["vec"]), []
-        for strip in _strips(q):
+        for strip in _strips(q, len(matrix)):
             s = _matrix(strip["vec"]) @ matrix.T
             parts.append((s.size, s.mean(), s.var() * s.size, s.min(), s.max()))
         return pd.DataFrame(parts, columns=["n", "mean", "m2", "lo", "hi"])
 
-    parts = _block_grid(drawn(queries, "query_id"), drawn(items, "item_id"), block_rows).applyInPandas(
+    grid = _block_grid(drawn(queries, "query_id"), drawn(items, "item_id"), block_rows, few_cells=True)
+    parts = grid.applyInPandas(
         kernel, "n long, mean double, m2 double, lo double, hi double"
     )
     n, weighted = F.sum("n"), F.sum(F.col("n") * F.col("mean"))
