@@ -66,33 +66,38 @@ def moments_sql(source: str, keys: str = "feature") -> str:
             f"min(value) as min, max(value) as max, stddev_pop(value) as std from {source} group by {keys}")
 
 
-MOMENTS = ", ".join(f"{R(c)} as {c}" for c in ("mean", "m2", "min", "max", "std"))
+MOMENTS = ", ".join([f"{R(c)} as {c}" for c in ("mean", "min", "max", "std")] + [f"{R('m2 / count')} as variance"])
+
+
+def _shown(state):
+    """The state with m2 per row: m2 itself is too large for a fixed number of decimals."""
+    return state.withColumn("variance", F.col("m2") / F.col("count")).drop("m2")
 
 
 @query("online_stats", f"with {DRIFT_LOG_SQL}, o as ({moments_sql('(select * from drift_log where part = ' + repr('online') + ')')}) select feature, count, {MOMENTS} from o")
 def _(spark, sf):
     log = drift_log(spark, sf)
     watched = log.where(F.col("part") == "baseline").select("feature").distinct()
-    return drift.moments(log.where(F.col("part") == "online"), monitored=watched)
+    return _shown(drift.moments(log.where(F.col("part") == "online"), monitored=watched))
 
 
 @query("online_stats_json", f"with {FEATURE_LOG_SQL}, o as ({moments_sql('feature_log')}) select feature, count, {MOMENTS} from o")
 def _(spark, sf):
     # Export and import of the state: the statistics survive the round trip.
-    return drift.moments_from_json(drift.moments_json(drift.moments(feature_log(spark, sf))))
+    return _shown(drift.moments_from_json(drift.moments_json(drift.moments(feature_log(spark, sf)))))
 
 
 @query("merge_moments", f"with {FEATURE_LOG_SQL}, o as ({moments_sql('feature_log')}) select feature, count, {MOMENTS} from o")
 def _(spark, sf):
     hourly = drift_stream.windowed_stats(feature_log(spark, sf))
-    return drift.merge_moments(hourly)
+    return _shown(drift.merge_moments(hourly))
 
 
 @query("merge_moments_daily", f"""with {FEATURE_LOG_SQL}, d as (select cast(ts as date) as day, feature, value from feature_log),
 o as ({moments_sql('d', 'day, feature')}) select day, feature, count, {MOMENTS} from o""")
 def _(spark, sf):
     hourly = drift_stream.windowed_stats(feature_log(spark, sf))
-    return drift.merge_moments(hourly.withColumn("day", F.col("window_start").cast("date")), ["day", "feature"])
+    return _shown(drift.merge_moments(hourly.withColumn("day", F.col("window_start").cast("date")), ["day", "feature"]))
 
 
 # --- reports ----------------------------------------------------------------
@@ -191,7 +196,7 @@ HOURLY_SQL = f"with {FEATURE_LOG_SQL}, o as ({HOURLY}) select window_start, feat
 
 @query("windowed_stats", HOURLY_SQL)
 def _(spark, sf):
-    return drift_stream.windowed_stats(feature_log(spark, sf))
+    return _shown(drift_stream.windowed_stats(feature_log(spark, sf)))
 
 
 WINDOWED = f"""{BASE}, online as ({moments_sql("(select date_trunc('day', ts) as window_start, feature, value from online_rows)", 'window_start, feature')}),
@@ -243,13 +248,13 @@ def _drain(spark, sf, build, keys, mode, transform=None):
 
 @query("stream_online_stats", f"with {FEATURE_LOG_SQL}, o as ({moments_sql('feature_log')}) select feature, count, {MOMENTS} from o")
 def _(spark, sf):
-    return _drain(spark, sf, drift_stream.online_stats, ["feature"], "complete")
+    return _shown(_drain(spark, sf, drift_stream.online_stats, ["feature"], "complete"))
 
 
 @query("stream_windowed_stats", HOURLY_SQL)
 def _(spark, sf):
     out = _drain(spark, sf, drift_stream.windowed_stats, ["window_start", "feature"], "update")
-    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return _shown(out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @query("stream_drift", f"""with {BASE}, online as ({moments_sql("(select date_trunc('day', ts) as window_start, feature, value from feature_log)", 'window_start, feature')}),

@@ -131,7 +131,7 @@ def _(spark, sf):
 
 
 _LONG = "unpivot (select {k}, ndcg_10, ndcg_20, rmse, mae from evaluated) on ndcg_10, ndcg_20, rmse, mae into name metric value v"
-_W = {m: f"max(case when model = '{m}' then v end)" for m in MODELS}
+_W = {m: f"max(case when model = '{m}' then round(v, 12) end)" for m in MODELS}
 
 
 @query("compare_models", f"""with {models_sql()}, {evaluate_sql(['model'])},
