@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from winnow.catalog.registry import TIE_SHIFT
 from winnow.functions.tags import slug
 from winnow.operators import splits
-from winnow.operators.features import stat_columns
+from winnow.operators.features import attach_stats, stat_columns
 from winnow.plans.feature_table import FeatureParts, additive_score, learn
 from winnow.runtime import materialize, staging_path  # noqa: F401
 
@@ -98,8 +98,6 @@ def scored_models(spark: SparkSession, sf: str, of: tuple[str, ...] = ("test",))
     data = split(spark, sf)
     p = parts(spark, sf, data)
     keep = [*ROW, "split"]
-    from winnow.operators.features import attach_stats
-
     filled = attach_stats(data.where(F.col("split").isin(*of)).select(*keep), p.user_stats, p.item_stats, p.defaults)
     overall = p.defaults.select(F.col("user_avg_rating").alias("g"))  # one row
     user, item = F.col("user_avg_rating"), F.col("item_avg_rating")
