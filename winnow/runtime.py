@@ -32,6 +32,14 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def release(*stored: DataFrame) -> None:
+    """Deletes the files of tables made by ``materialize`` that nothing reads any more."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Computes ``df`` once into a parquet table in the shared folder and reads it back.
 
@@ -40,4 +48,6 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.staged_path = path
+    return stored
