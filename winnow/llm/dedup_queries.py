@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import exact_dedup
+from winnow.llm import exact_dedup, simhash
 from winnow.llm.registry import query, table
 
 OP1_SQL = r"""
@@ -26,3 +26,8 @@ FROM ranked
 @query("op1_exact_dedup", OP1_SQL)
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(table(spark, sf_dir, "documents"))

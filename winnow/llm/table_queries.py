@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import mixing, secrets, warc
+from winnow.llm import mixing, packing, secrets, warc
 from winnow.llm.registry import query, table
 from winnow.runtime import materialize
 
+
+def word_vocabulary() -> str:
+    """Path of the public word-wise BPE vocabulary on this machine and its executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 # SHA-1 in base 32: the 40 hex digits become 160 bits, read five at a time.
 OP5_SQL = """
 WITH payloads AS (
@@ -39,6 +47,11 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+@query("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_vocabulary())
+
+
 @query("op8_mixing")
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
