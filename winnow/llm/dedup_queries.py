@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import exact_dedup, simhash
+from winnow.llm import exact_dedup, line_dedup, simhash
 from winnow.llm.registry import query, table
 
 OP1_SQL = r"""
@@ -31,3 +31,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op6_line_dedup")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every visible line, whether it stays, and the place of the line that its group keeps."""
+    lines = line_dedup.line_groups(table(spark, sf_dir, "documents"))
+    return lines.selectExpr("doc_id", "line_no", "kept", "keep.doc_id AS keep_doc_id", "keep.line_no AS keep_line_no", "copies")

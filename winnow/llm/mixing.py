@@ -97,7 +97,7 @@ def repeat_documents(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), shar
                      cap: float = 2.0, seed: int = 17) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
     targets = source_targets(docs.select("source", word_count("text").alias("size")), weights, share, cap)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("source"), F.col("doc_id"),
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source"), F.col("doc_id"),
                          F.lit(0).cast("long").alias("size"))
     taken = mixed(packed, targets, seed).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
