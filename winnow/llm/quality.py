@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -206,9 +207,7 @@ def scored(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def _score_only(net: Network):
-    def run(texts: Iterator) -> Iterator:
-        import pandas as pd
-
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series([net.score(np.frombuffer((t or "").encode("utf-8", "surrogatepass"), np.uint8)) for t in part], dtype="float64")
 

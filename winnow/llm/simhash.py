@@ -183,3 +183,19 @@ def near_groups(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -
                         .select("bits", F.coalesce("root", "id").alias("component_id")), "named")
     return prints.join(named, "bits").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id; columns as in ``docs``.
+
+    A doc_id names a document: of rows that share it one stays.  Rows without one stay.
+    """
+    groups = near_groups(docs, words, distance)
+    gone = materialize(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    twice = materialize(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
+                        .select("doc_id"), "twice")
+    left = docs.join(gone, "doc_id", "left_anti")
+    # Usually no doc_id repeats; adaptive execution then drops the second part.
+    once = left.join(twice, "doc_id", "left_anti")
+    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
