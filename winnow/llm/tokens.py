@@ -79,6 +79,7 @@ class WordTokens:
         chunks = self.chunks
         if len(chunks) > MOST_CHUNKS:
             chunks.clear()
-        for chunk in set(parts) - chunks.keys():
-            chunks[chunk] = self._chunk(chunk)
+        for chunk in set(parts):
+            if chunk not in chunks:
+                chunks[chunk] = self._chunk(chunk)
         return b"".join([chunks[p] for p in parts])
