@@ -123,6 +123,7 @@ def _lookups(nodes: DataFrame, plan: list[tuple[int, int, int]]) -> tuple[DataFr
 def block_links(table: np.ndarray, probe: np.ndarray, table_ids: np.ndarray, probe_ids: np.ndarray,
                 distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between two blocks."""
+    table, probe = table.view(np.uint64), probe.view(np.uint64)  # bit counts of signed numbers drop the sign
     us, vs = [], []
     for at in range(0, len(probe), 256):
         near = np.bitwise_count(probe[at:at + 256, None] ^ table[None, :]) <= distance
