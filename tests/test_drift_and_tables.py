@@ -25,9 +25,6 @@ def test_baseline_edges(spark):
     assert got["five"]["mean"] == 3 and got["five"]["std"] == pytest.approx(np.std([1, 2, 3, 4, 5], ddof=1))
     assert got["five"]["p05"] == pytest.approx(1.2) and got["constant"]["std"] == 1e-10
     assert got["holes"]["n_samples"] == 2 and got["holes"]["p50"] == 2
-    narrowed = {r["feature"]: r for r in drift.feature_baseline(df, direct_rows=1).collect()}
-    for name, row in got.items():
-        assert list(narrowed[name])[1:] == pytest.approx(list(row)[1:])
     assert drift.to_long(spark.createDataFrame([(1, 2)], "a int, b int"), ["a", "zzz"]).collect() == [("a", 1.0)]
 
 

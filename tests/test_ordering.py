@@ -95,8 +95,8 @@ def test_top_k_is_cut_before_the_shuffle(spark):
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
 
 
-@pytest.mark.parametrize("direct_rows", [2_000_000, 50, 1])
-def test_quantiles_equal_numpy(spark, direct_rows):
+@pytest.mark.parametrize("fetch,bits", [(4_096, 8), (50, 5), (1, 8)])
+def test_quantiles_equal_numpy(spark, fetch, bits):
     rng = np.random.default_rng(5)
     groups = {
         "normal": rng.normal(size=700), "heavy": np.exp(rng.normal(size=500) * 4), "constant": np.full(40, 2.5),
@@ -105,7 +105,7 @@ def test_quantiles_equal_numpy(spark, direct_rows):
     }
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("normal", None), ("normal", float("nan"))]
     df = spark.createDataFrame(rows, "feature string, value double").repartition(6)
-    got = {r[0]: r[1] for r in order_stats.quantiles(df, "feature", "value", PROBS, direct_rows=direct_rows, buckets=8).collect()}
+    got = {r[0]: r[1] for r in order_stats.quantiles(df, "feature", "value", PROBS, fetch=fetch, bits=bits).collect()}
     assert set(got) == set(groups)
     for name, values in groups.items():
         if name == "wide":  # the interpolation itself overflows in numpy
@@ -114,6 +114,32 @@ def test_quantiles_equal_numpy(spark, direct_rows):
         assert got[name] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
 
 
+def test_quantiles_of_infinities_denormals_and_ties(spark):
+    inf, tiny = float("inf"), 5e-324
+    groups = {
+        "infinite": [-inf, 1.0, 2.0, 3.0, inf, inf, -0.0, 0.0], "denormal": [i * tiny for i in range(-40, 60)],
+        "ties": [3.5] * 900 + [i / 7 for i in range(100)], "signs": [(-2.0) ** i for i in range(200)],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "feature string, value double").repartition(4)
+    want = {r[0]: r[1] for r in df.groupBy("feature").agg(F.percentile("value", F.lit(PROBS))).collect()}
+    got = {r[0]: r[1] for r in order_stats.quantiles(df, "feature", "value", PROBS, fetch=3, bits=4).collect()}
+    for name in groups:
+        assert got[name] == pytest.approx(want[name], rel=1e-12, abs=0)
+
+
+def test_integer_form_keeps_the_order(spark):
+    values = sorted([float("-inf"), -1e308, -2.5, -5e-324, 0.0, 5e-324, 1.0, 1.0000000000000002, 1e308, float("inf")])
+    keys = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").coalesce(1).select(order_stats.ordered_bits(F.col("v"))).collect()]
+    assert keys == sorted(set(keys)) and [order_stats.from_ordered_bits(k) for k in keys] == values
+
+
+def test_split_refuses_keys_that_tie_at_a_boundary(spark):
+    df = spark.createDataFrame([(1,)] * 10, "ts long")
+    for fetch_rows in (1, 20_000):
+        with pytest.raises(ValueError, match="do not tell"):
+            order_stats.rows_at(df, ["ts"], (0.5,), fetch_rows=fetch_rows)
+
+
 def test_counted_percentiles(spark):
     values = [1, 1, 1, 2, 5, 9]
     df = spark.createDataFrame([(v,) for v in values], "n int")

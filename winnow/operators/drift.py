@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from winnow.functions import drift as d
 from winnow.functions.binning import histogram_bin
-from winnow.operators.order_stats import DIRECT_ROWS, quantiles
+from winnow.operators.order_stats import quantiles
 
 # Fixed values
 PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -33,7 +33,7 @@ def _usable(long: DataFrame) -> DataFrame:
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def feature_baseline(long: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def feature_baseline(long: DataFrame) -> DataFrame:
     """Moments, range and percentiles per feature; features without values are absent."""
     std = F.stddev_samp("value")
     moments = _usable(long).groupBy("feature").agg(
@@ -42,16 +42,16 @@ def feature_baseline(long: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFra
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.count("value").alias("n_samples"),
     )
-    spread = quantiles(long, "feature", "value", PERCENTILES, direct_rows=direct_rows)
+    spread = quantiles(long, "feature", "value", PERCENTILES)
     names = [f"p{round(p * 100):02d}" for p in PERCENTILES]
     return moments.join(spread, "feature").select(
         *moments.columns, *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(names)]
     )
 
 
-def histogram_edges(long: DataFrame, bins: int = BINS, direct_rows: int = DIRECT_ROWS) -> DataFrame:
+def histogram_edges(long: DataFrame, bins: int = BINS) -> DataFrame:
     """Distinct quantile edges per feature; a constant feature gets one narrow bin."""
-    cuts = quantiles(long, "feature", "value", [i / bins for i in range(bins + 1)], direct_rows=direct_rows)
+    cuts = quantiles(long, "feature", "value", [i / bins for i in range(bins + 1)])
     edges = F.array_distinct("quantiles")
     only = F.get(edges, F.lit(0))
     return cuts.select(

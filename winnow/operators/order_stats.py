@@ -7,6 +7,7 @@ sorted globally and no group is gathered in one task.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 from functools import reduce
 from math import ceil, floor
@@ -15,11 +16,12 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 BUCKETS = 4096
 FETCH_ROWS = 20_000
-DIRECT_ROWS = 2_000_000
+FETCH_BRACKET = 4_096
+BRACKET_BITS = 8
+_MAGNITUDE = (1 << 63) - 1
 
 
 def _as_long(df: DataFrame, name: str) -> Column:
@@ -97,6 +99,8 @@ def rows_at(df: DataFrame, keys: Sequence[str], ratios: Sequence[float], *,
         if not pair:
             out.append(None)
             continue
+        if len(pair) == 2 and all(pair[0][n] == pair[1][n] for n in longs):
+            raise ValueError(f"the order keys {list(keys)} do not tell the rows at a boundary apart")
         # Keys after the first one that differs from the next row decide nothing.
         differs = [i for i, n in enumerate(longs) if len(pair) == 2 and pair[0][n] != pair[1][n]]
         needed = keys[: differs[0] + 1] if differs else keys
@@ -145,98 +149,92 @@ def after(bound: dict[str, Column]) -> Column:
     return (F.col(names[0]) >= bound[names[0]]) & out
 
 
+def ordered_bits(value: Column) -> Column:
+    """A double as a 64-bit integer of the same order, infinities and denormals included."""
+    # Adding zero makes both zeros one.
+    bits = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")
+    return bits.bitwiseXOR(F.shiftright(bits, 63).bitwiseAND(F.lit(_MAGNITUDE)))
+
+
+def from_ordered_bits(key: int) -> float:
+    return struct.unpack("<d", struct.pack("<q", key ^ ((key >> 63) & _MAGNITUDE)))[0]
+
+
 def quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], *,
-              direct_rows: int = DIRECT_ROWS, buckets: int = 64) -> DataFrame:
+              fetch: int = FETCH_BRACKET, bits: int = BRACKET_BITS) -> DataFrame:
     """Exact linear-interpolated quantiles of a double column per group.
 
-    ``df`` is long form with few groups (feature names).  Small groups are
-    solved by the built-in ``percentile``; its memory grows with the number of
-    distinct values, so larger ones are narrowed by histograms first.
+    ``df`` is long form with few groups (feature names).  Every requested position is
+    narrowed by histograms over the order-preserving integer form of the values, whose
+    range shrinks by a fixed factor in each pass, until its bracket is one value or holds
+    at most ``fetch`` rows, which are then sorted together.  The same steps are taken
+    at every size.  Null and NaN are left out.
     Returns ``(group, quantiles)`` with one array in the order of ``probs``.
     """
-    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(group, value)
+    spark, kind = df.sparkSession, df.schema[group].dataType.simpleString()
+    usable = df.where(F.col(value).isNotNull() & ~F.isnan(value))
+    rows = usable.select(F.col(group).alias("g"), ordered_bits(F.col(value).cast("double")).alias("key"))
     sizes = (
-        rows.groupBy(group)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+        rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi"))
         .collect()  # one row per feature
     )
-    if max((s["n"] for s in sizes), default=0) <= direct_rows:
-        return rows.groupBy(group).agg(F.percentile(value, F.lit(list(probs))).alias("quantiles"))
-    return _narrowed_quantiles(rows, group, value, probs, sizes, direct_rows, buckets)
-
-
-def _narrowed_quantiles(rows, group, value, probs, sizes, direct_rows, buckets) -> DataFrame:
-    spark = rows.sparkSession
-    totals = {s[group]: s["n"] for s in sizes}
-    open_, found = {}, {}
-    for s in sizes:
-        for p in probs:
-            h = (s["n"] - 1) * p
-            for pos in {floor(h), ceil(h)}:
-                open_[(s[group], pos)] = (s["lo"], s["hi"], s["n"], pos)
-    kind = rows.schema[group].dataType.simpleString()
-
-    def scoped(brackets, extra: str = "") -> DataFrame:
-        small = spark.createDataFrame(brackets, f"g {kind}, lo double, hi double")
-        return rows.join(
-            F.broadcast(small),
-            (F.col(group) == F.col("g")) & F.col(value).between(F.col("lo"), F.col("hi")),
-        )
-
-    while True:
-        for key, (lo, hi, n, _) in list(open_.items()):
+    open_ = {
+        (s["g"], at): (s["lo"], s["hi"], s["n"], at)
+        for s in sizes for p in probs for at in (floor((s["n"] - 1) * p), ceil((s["n"] - 1) * p))
+    }
+    found: dict = {}
+
+    def scoped(brackets: set) -> DataFrame:
+        cut = [(g, lo, hi, max(0, (hi - lo).bit_length() - bits)) for g, lo, hi in brackets]
+        small = spark.createDataFrame(cut, f"b_g {kind}, lo long, hi long, s int")
+        inside = F.col("g").eqNullSafe(F.col("b_g")) & F.col("key").between(F.col("lo"), F.col("hi"))
+        return rows.join(F.broadcast(small), inside)  # a few brackets per feature
+
+    for _ in range(64 // (bits - 1) + 2):
+        for at, (lo, hi, _, _) in list(open_.items()):
             if lo == hi:
-                found[key] = lo
-                del open_[key]
-        wide = {(k[0], b[0], b[1]) for k, b in open_.items() if b[2] > direct_rows}
+                found[at] = from_ordered_bits(lo)
+                del open_[at]
+        wide = {(at[0], b[0], b[1]) for at, b in open_.items() if b[2] > fetch}
         if not wide:
             break
-        span = F.col("hi") / buckets - F.col("lo") / buckets
-        bucket = F.least(
-            F.floor(F.try_divide(F.col(value) - F.col("lo"), span)), F.lit(buckets - 1)
-        )
+        # Halves are subtracted, since the whole difference may need 64 bits.
+        bucket = F.expr("if(s = 0, key - lo, shiftright(shiftright(key, 1) - shiftright(lo, 1), s - 1))")
         hist: dict = {}
         counted = (
-            scoped(sorted(wide))
-            .groupBy("g", "lo", "hi", F.coalesce(bucket, F.lit(0)).alias("b"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("vlo"), F.max(value).alias("vhi"))
+            scoped(wide).groupBy("g", "lo", "hi", bucket.alias("b"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("k_lo"), F.max("key").alias("k_hi"))
             .orderBy("g", "lo", "hi", "b")
-            .collect()  # brackets x buckets rows
+            .collect()  # brackets x 2**bits rows
         )
         for r in counted:
             hist.setdefault((r["g"], r["lo"], r["hi"]), []).append(r)
-        for key, (lo, hi, n, offset) in list(open_.items()):
-            for r in hist.get((key[0], lo, hi), []):
+        for at, (lo, hi, _, offset) in list(open_.items()):
+            for r in hist.get((at[0], lo, hi), []):
                 if offset < r["n"]:
-                    open_[key] = (r["vlo"], r["vhi"], r["n"], offset)
+                    open_[at] = (r["k_lo"], r["k_hi"], r["n"], offset)
                     break
                 offset -= r["n"]
+    else:
+        raise RuntimeError("a bracket did not shrink")
     if open_:
-        # Every bracket left holds at most `direct_rows` rows.
-        brackets = sorted({(k[0], b[0], b[1]) for k, b in open_.items()})
-        wanted = spark.createDataFrame(
-            [(k[0], b[0], b[1], b[3] + 1) for k, b in open_.items()],
-            f"g {kind}, lo double, hi double, rn int",
-        ).distinct()
-        w = Window.partitionBy("g", "lo", "hi").orderBy(value)
-        hits = (
-            scoped(brackets)
-            .withColumn("rn", F.row_number().over(w))
-            .join(F.broadcast(wanted), ["g", "lo", "hi", "rn"])
-            .select("g", "lo", "hi", "rn", value)
-            .collect()  # one row per requested position
+        brackets = {(at[0], b[0], b[1]) for at, b in open_.items()}
+        sorted_ = (
+            scoped(brackets).groupBy("g", "lo", "hi")
+            .agg(F.sort_array(F.collect_list("key")).alias("keys"))  # at most `fetch` rows each
+            .collect()
         )
-        lookup = {(r["g"], r["lo"], r["hi"], r["rn"]): r[value] for r in hits}
-        for key, b in open_.items():
-            found[key] = lookup[(key[0], b[0], b[1], b[3] + 1)]
+        lists = {(r["g"], r["lo"], r["hi"]): r["keys"] for r in sorted_}
+        for at, (lo, hi, _, offset) in open_.items():
+            found[at] = from_ordered_bits(lists[(at[0], lo, hi)][offset])
     out = []
-    for g, n in totals.items():
+    for s in sizes:
         qs = []
         for p in probs:
-            h = (n - 1) * p
-            a, b = found[(g, floor(h))], found[(g, ceil(h))]
-            qs.append(float(a + (h - floor(h)) * (b - a)))
-        out.append((g, qs))
+            h = (s["n"] - 1) * p
+            low, high = found[(s["g"], floor(h))], found[(s["g"], ceil(h))]
+            qs.append(low if low == high else (ceil(h) - h) * low + (h - floor(h)) * high)
+        out.append((s["g"], qs))
     return spark.createDataFrame(out, f"{group} {kind}, quantiles array<double>")
 
 
