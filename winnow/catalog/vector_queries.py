@@ -218,7 +218,7 @@ def _(spark, sf):
 
 @query("lsh_topk")
 def _(spark, sf):
-    return nearest.lsh_top_k(_queries(spark, sf), _items(spark, sf), K, bucket_length=0.5, tables=6)
+    return nearest.lsh_top_k(_queries(spark, sf), _items(spark, sf), K)
 
 
 @query("ann_recall")
@@ -228,7 +228,7 @@ def _(spark, sf):
     lists = nearest.InvertedLists(catalogue, n_lists=20)
     rows = [
         (f"ivf_probe_{p}", lists.search(wanted, K, n_probe=p)) for p in (1, 5, 20)
-    ] + [("lsh", nearest.lsh_top_k(wanted, catalogue, K, bucket_length=0.5, tables=6))]
+    ] + [("lsh", nearest.lsh_top_k(wanted, catalogue, K))]
     out = None
     for name, approximate in rows:
         one = nearest.overlap(approximate, exact).withColumn("method", F.lit(name))
