@@ -117,6 +117,29 @@ def test_negatives_are_unseen_distinct_and_complete(spark):
     pd.testing.assert_frame_equal(out.sort_values(key).reset_index(drop=True), again.sort_values(key).reset_index(drop=True))
 
 
+def test_negatives_of_a_saturated_user_list_the_catalogue_once(spark):
+    n_items = 4_000
+    seen = spark.range(3, n_items).selectExpr("0L AS user_idx", "id AS item_idx")
+    out = ids.negative_samples(seen, n_items, per_positive=4).toPandas()
+    assert len(out) == 3 * (n_items - 3) and set(out.neg_idx) == {0, 1, 2}
+    listed = ids._unseen_of(seen.select("user_idx").distinct(), seen.withColumnRenamed("item_idx", "neg_idx"), n_items, "user_idx")
+    assert listed.count() == 3
+
+
+def test_residues_of_large_catalogues(spark):
+    from winnow.functions.hashing import times_modulo
+
+    n, values = 10**13 + 37, [0, 1, 9_999_999_999_999, 5_555_555_555_555]
+    df = spark.createDataFrame([(v,) for v in values], "a long")
+    assert [r[0] for r in df.coalesce(1).select(times_modulo(F.col("a"), 3_819_660_112_501, n)).collect()] == [
+        v * 3_819_660_112_501 % n for v in values]
+
+
+def test_open_tag_vocabularies_have_a_long_form(spark):
+    df = spark.createDataFrame([(1, "A|B|A"), (2, "C")], "item_id long, genres string")
+    assert sorted(map(tuple, f.tag_rows(df).collect())) == [(1, "A"), (1, "B"), (2, "C")]
+
+
 def test_batches_are_full_and_shuffled(spark):
     pairs = spark.range(1000).select(F.col("id").alias("u"), (F.col("id") * 7).alias("i"))
     out = ids.training_batches(pairs, 64, 1, "u", "i").toPandas()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from winnow.functions.hashing import coprime_strides, pick, seeded_int, seeded_key
+from winnow.functions.hashing import coprime_strides, pick, seeded_int, seeded_key, times_modulo
 from winnow.operators.ranks import global_rank
 from winnow.runtime import materialize
 
@@ -79,50 +79,70 @@ def negative_samples(pairs: DataFrame, n_items: int, per_positive: int = 4, seed
     """``per_positive`` distinct unseen items for each distinct positive pair.
 
     Every pair walks the item indexes in its own pseudo-random order (start
-    from a hash, stride coprime to ``n_items``); items the user has already
-    seen are removed by an anti-join and the first ones left are kept.  Pairs
-    still short after a round walk further, until the catalogue is exhausted,
-    so a result is short only where fewer unseen items exist.
+    from a hash, stride coprime to ``n_items``) and keeps the first items that
+    its user has not seen, or all of them if there are fewer.  Pairs still
+    short after a round walk further.
+
+    A user with ``u`` unseen items lets a pair walk about ``n_items / u`` steps
+    per item.  Where that would be more than ``u``, the unseen items are listed
+    once for the user and each pair takes those that come first in its walk, so
+    a pair never costs more than about twice the root of ``n_items`` rows.
     """
-    seen = materialize(pairs.select(user_idx, item_idx).distinct())
-    stride, _ = coprime_strides(n_items, 1)[0]
+    seen = materialize(pairs.select(user_idx, item_idx).distinct(), "pairs")
+    stride, inverse = coprime_strides(n_items, 1)[0]
     start = F.pmod(seeded_int(seed, user_idx, item_idx), F.lit(n_items))
+    unseen = n_items - F.count(F.lit(1))
+    dense = materialize(
+        seen.groupBy(user_idx).agg(unseen.alias("__u"))
+        .where((F.col("__u") * F.col("__u") < 4 * n_items) | (F.col("__u") < per_positive)).select(user_idx), "dense")
     known = seen.select(F.col(user_idx), F.col(item_idx).alias("neg_idx"))
-    todo = seen.withColumn("__start", start).withColumn("__have", F.lit(0).cast("long"))
-    lo, width = 0, 2 * per_positive
-    rounds: list[DataFrame] = []
     w = Window.partitionBy(user_idx, item_idx).orderBy("__r")
-    while True:
+    listed = _unseen_of(dense, known, n_items, user_idx)
+    order = times_modulo(F.pmod(F.col("neg_idx") - F.col("__start"), F.lit(n_items)), inverse, n_items)
+    near = (
+        seen.withColumn("__start", start).join(listed, user_idx).withColumn("__r", order)
+        .withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_positive)
+    )
+    rounds = [near.select(user_idx, item_idx, F.col("n").cast("int").alias("n"), "neg_idx")]
+    todo = seen.join(dense, user_idx, "left_anti").withColumn("__start", start).withColumn("__have", F.lit(0).cast("long"))
+    lo, width = 0, 2 * per_positive
+    while lo < n_items:
         hi = min(lo + width, n_items)
+        step = F.pmod(F.col("__start") + times_modulo(F.col("__r"), stride, n_items), F.lit(n_items))
         drawn = (
             todo.withColumn("__r", F.explode(F.sequence(F.lit(lo).cast("long"), F.lit(hi - 1).cast("long"))))
-            .withColumn("neg_idx", F.pmod(F.col("__start") + F.col("__r") * stride, F.lit(n_items)))
+            .withColumn("neg_idx", step)
             .join(known, [user_idx, "neg_idx"], "left_anti")
             # A walk has at most `width` rows per pair.
             .withColumn("n", F.row_number().over(w) + F.col("__have"))
             .where(F.col("n") <= per_positive)
         )
-        step = materialize(drawn)
-        rounds.append(step.select(user_idx, item_idx, F.col("n").cast("int").alias("n"), "neg_idx"))
-        got = step.groupBy(user_idx, item_idx).agg(F.count(F.lit(1)).alias("__got"))
-        todo = (
-            todo.join(got, [user_idx, item_idx], "left")
+        got = materialize(drawn.select(user_idx, item_idx, F.col("n").cast("int").alias("n"), "neg_idx"), "negatives")
+        rounds.append(got)
+        counts = got.groupBy(user_idx, item_idx).agg(F.count(F.lit(1)).alias("__got"))
+        todo = materialize(
+            todo.join(counts, [user_idx, item_idx], "left")
             .withColumn("__have", F.col("__have") + F.coalesce("__got", F.lit(0)))
             .drop("__got")
-            .where(F.col("__have") < per_positive)
-        )
-        lo, width = hi, width * 2
-        if lo >= n_items:
-            break
-        todo = materialize(todo)
+            .where(F.col("__have") < per_positive), "short")
         if todo.isEmpty():
             break
+        lo, width = hi, width * 2
     out = rounds[0]
     for more in rounds[1:]:
         out = out.unionByName(more)
     return out
 
 
+def _unseen_of(users: DataFrame, known: DataFrame, n_items: int, user_idx: str) -> DataFrame:
+    """``(user, neg_idx)`` of the unseen items; the catalogue is listed in bounded ranges."""
+    span = 100_000
+    ranges = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(0, n_items - 1)).cast("long"), F.lit(span).cast("long")))
+    last = F.least(F.col("__lo") + span - 1, F.lit(n_items - 1).cast("long"))
+    every = users.select(user_idx, ranges.alias("__lo")).select(user_idx, F.explode(F.sequence(F.col("__lo"), last)).alias("neg_idx"))
+    return materialize(every.join(known, [user_idx, "neg_idx"], "left_anti"), "unseen")
+
+
 def training_batches(pairs: DataFrame, batch_size: int, seed: int, *keys: str) -> DataFrame:
     """Shuffles the rows by a seeded hash of ``keys`` and cuts them into batches."""
     keyed = pairs.withColumn("__h", seeded_key(seed, *keys))
@@ -140,5 +160,5 @@ def random_rank(df: DataFrame, n_items: int, seed: int, *, user: str, item_idx:
     h = seeded_int(seed, user)
     inverse = pick([inv for _, inv in choices], F.pmod(h, F.lit(len(choices))))
     start = F.pmod(h, F.lit(n_items))
-    steps = F.pmod(F.pmod(F.col(item_idx) - start, F.lit(n_items)) * inverse, F.lit(n_items))
+    steps = times_modulo(F.pmod(F.col(item_idx) - start, F.lit(n_items)), inverse, n_items)
     return df.withColumn("rank", steps + 1)
