@@ -23,7 +23,7 @@ EARLY = (0.05, 0.05)  # a short history leaves many users and items cold
 # Tags of the item catalogue.
 TAGS = [
     "ANVIL", "BLUE", "BOLT", "COLD", "ECONOMY", "GEAR", "GIZMO", "HOT", "LARGE", "MEDIUM", "NEW", "OLD",
-    "PLATE", "RED", "RING", "ROD", "SMALL", "STANDARD", "WIDGET",
+    "PLATE", "PROMO", "RED", "RING", "ROD", "SMALL", "STANDARD", "WIDGET",
 ]
 TAG_COLUMNS = [f"genre_{slug(t)}" for t in TAGS]
 
@@ -46,17 +46,17 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:
-    """Catalogue; promotional parts are not listed, so some items have no entry."""
-    return table(spark, sf, "part").where(F.col("p_type") != "PROMO").select(
+    """Catalogue."""
+    return table(spark, sf, "part").select(
         F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"),
         F.concat_ws("|", "p_type", F.upper(F.regexp_replace("p_name", " ", "|"))).alias("genres"),
     )
 
 
 def users(spark: SparkSession, sf: str) -> DataFrame:
-    """Profiles; customers with a negative balance have none."""
+    """Profiles."""
     segment = F.col("c_mktsegment")
-    return table(spark, sf, "customer").where(F.col("c_acctbal") >= 0).select(
+    return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("user_id"),
         F.when(F.col("c_nationkey") < 13, "M").otherwise("F").alias("gender"),
         F.when(segment == "AUTOMOBILE", 18).when(segment == "BUILDING", 25).when(segment == "FURNITURE", 35)
@@ -154,14 +154,14 @@ RATINGS_SQL = """ratings as (
 ITEMS_SQL = """items as (
   select p_partkey as item_id, p_name as title,
          p_type || '|' || upper(replace(p_name, ' ', '|')) as genres
-  from part where p_type <> 'PROMO')"""
+  from part)"""
 
 USERS_SQL = """users as (
   select c_custkey as user_id, case when c_nationkey < 13 then 'M' else 'F' end as gender,
          case c_mktsegment when 'AUTOMOBILE' then 18 when 'BUILDING' then 25 when 'FURNITURE' then 35
               when 'HOUSEHOLD' then 45 else 50 end as age,
          c_nationkey as occupation
-  from customer where c_acctbal >= 0)"""
+  from customer)"""
 
 
 def split_sql(train: float = 0.8, val: float = 0.1) -> str:

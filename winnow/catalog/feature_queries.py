@@ -157,11 +157,12 @@ def _(spark, sf):
     return files.read_delimited(spark, path, files.ITEMS, encoding="ISO-8859-1")
 
 
-@query("sink_parquet_roundtrip", f"with {split_sql()} select * from split where split = 'val'")
+@query("sink_parquet_roundtrip", f"with {split_sql()} select * from split")
 def _(spark, sf):
     path = staging_path(spark, "splits")
     files.write_splits(split(spark, sf), path)
-    return files.read_split(spark, path, "val").select(*ROW, F.lit("val").alias("split"))
+    train, val, test = [files.read_split(spark, path, n).select(*ROW, F.lit(n).alias("split")) for n in ("train", "val", "test")]
+    return train.unionByName(val).unionByName(test)
 
 
 @query("sink_csv_roundtrip", f"""with {RATINGS_SQL}

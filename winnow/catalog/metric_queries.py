@@ -256,8 +256,9 @@ def _wanted(spark, sf):
     data = split(spark, sf)
     train = ids.positives(part_of(data, "train"))
     test = ids.positives(part_of(data, "test"))
-    known = test.join(train.select("user_id").distinct(), "user_id", "left_semi").join(
-        train.select("item_id").distinct(), "item_id", "left_semi"
+    # Stored, so that rows of hot users and items can be split in the joins.
+    known = test.join(materialize(train.select("user_id").distinct(), "users"), "user_id", "left_semi").join(
+        materialize(train.select("item_id").distinct(), "items"), "item_id", "left_semi"
     )
     return train, known.select("user_id", "item_id").distinct()
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions import tags
+from winnow.runtime import materialize
 
 # Statistic suffixes in saved order.
 STATS = ("rating_count", "avg_rating", "rating_std", "rating_min", "rating_max")
@@ -65,12 +66,18 @@ def tag_vocabulary(items: DataFrame, packed: str = "genres") -> DataFrame:
     )
 
 
-def vocabulary_list(items: DataFrame, packed: str = "genres", limit: int = 2000) -> list[str]:
-    """The vocabulary on the driver, to fix the column list of a plan."""
-    rows = tag_vocabulary(items, packed).select("tag").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} tags: not usable as columns")
-    return [r["tag"] for r in rows]
+def vocabulary_list(items: DataFrame, packed: str = "genres") -> list[str]:
+    """The vocabulary on the driver, to fix the column list of a plan.
+
+    It is as long as the catalogue has different tags.  For open vocabularies,
+    whose tags would not do as columns, use ``tag_rows``.
+    """
+    return [r["tag"] for r in tag_vocabulary(items, packed).select("tag").collect()]
+
+
+def tag_rows(items: DataFrame, packed: str = "genres", key: str = "item_id") -> DataFrame:
+    """The long form of the tags, one row per item and distinct tag, for any vocabulary."""
+    return items.select(key, F.explode(F.array_distinct(tags.tokens(F.col(packed)))).alias("tag"))
 
 
 def tag_multihot(items: DataFrame, vocabulary: Sequence[str], packed: str = "genres",
@@ -93,10 +100,12 @@ def attach_stats(df: DataFrame, user_stats: DataFrame, item_stats: DataFrame,
                  defaults: DataFrame, *, user: str = "user_id", item: str = "item_id") -> DataFrame:
     """Left joins both statistics tables and fills cold entities with defaults.
 
-    The joins carry no hint: adaptive execution broadcasts a side whose
-    measured size is small and splits the partitions of hot entities.
+    The statistics are stored first.  Fresh from their aggregation they would
+    already be partitioned by the entity, and adaptive execution could not split
+    the partitions of hot entities; as stored tables both sides are shuffled, or
+    the small side is broadcast by its measured size.
     """
-    joined = df.join(user_stats, user, "left").join(item_stats, item, "left")
+    joined = df.join(materialize(user_stats, "user-stats"), user, "left").join(materialize(item_stats, "item-stats"), item, "left")
     return fill_from_defaults(joined, defaults)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.operators.ranks import top_k
+from winnow.runtime import materialize
 
 
 def to_key_value(df: DataFrame, entity: str, id_column: str, group: str,
@@ -73,7 +74,9 @@ def layered_lookup(requests: DataFrame, primary: DataFrame, key: str,
     one-row table of the same column names.
     """
     names = [c for c in primary.columns if c != key]
-    joined = requests.join(primary.withColumn("__hit", F.lit(True)), key, "left")
+    # Stored first, so that requests for a hot key can be split.
+    stored = materialize(primary.withColumn("__hit", F.lit(True)), "primary")
+    joined = requests.join(stored, key, "left")
     missing = F.col("__hit").isNull()
     if isinstance(fallback, DataFrame):
         one = fallback.select(*[F.col(c).cast("double").alias(f"__d_{c}") for c in names])

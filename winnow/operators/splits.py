@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.operators.order_stats import after, at_or_before, rows_at
+from winnow.runtime import materialize
 
 # Fixed values
 SPLITS = ("train", "val", "test")
@@ -32,8 +33,12 @@ def time_split(df: DataFrame, order_keys: Sequence[str], train_ratio: float = 0.
 
 
 def minimum_history(split: DataFrame, min_rows: int = 5, user: str = "user_id") -> DataFrame:
-    """Keeps val/test rows only of users with enough train rows."""
-    qualified = (
+    """Keeps val/test rows only of users with enough train rows.
+
+    The qualified users are stored, so that the join shuffles both sides and a hot
+    user's rows can be split.
+    """
+    qualified = materialize(
         split.where(F.col("split") == "train")
         .groupBy(user)
         .agg(F.count(F.lit(1)).alias("__n"))
