@@ -5,8 +5,8 @@ known by a 64-bit hash.  Every distinct line gets a MinHash signature over its c
 shingles, and lines that agree in one of its bands are candidates: with 12 bands of 5
 rows a pair of Jaccard similarity 0.8 is found with probability 0.991, and with more above.
 
-Candidates are verified by the exact Jaccard similarity of their shingle sets, in two
-steps.  First each line of a band entry is held against the entry's smallest line, whose
+Candidates are verified by the exact Jaccard similarity of their shingle sets (shingles
+are known by 64-bit hashes there), in two steps.  First each line of a band entry is held against the entry's smallest line, whose
 copies are spread if it has many partners.  Components of those links follow by
 union-find within tasks and star contraction between them.  Then entries that still hold
 several components are compared across components, cut into blocks on both sides; a
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from winnow.llm.components import components
 from winnow.runtime import materialize
@@ -43,16 +44,42 @@ def plain_line(line: str) -> str:
     return " ".join(line.lower().split())
 
 
-def shingles(line: str, size: int = SHINGLE) -> set[str]:
-    return {line[i:i + size] for i in range(max(1, len(line) - size + 1))}
+def runs_of(lines: list[str], chars: int = 50_000) -> Iterator[list[str]]:
+    """Consecutive lines of about ``chars`` characters together, or one longer line."""
+    run, held = [], 0
+    for line in lines:
+        run.append(line)
+        held += len(line) + SHINGLE
+        if held >= chars:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
+def shingle_sets(lines: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+    """The distinct shingles of each line as sorted 64-bit hashes."""
+    out: list[np.ndarray] = []
+    gap = "\0" * size
+    for run in runs_of(lines):
+        sizes = np.fromiter(map(len, run), np.int64, len(run))
+        code = np.frombuffer((gap.join(run) + gap).encode("utf-32-le", "surrogatepass"), np.uint32)
+        x = np.zeros(len(code) - size + 1, np.uint64)
+        for i in range(size):
+            x = (x ^ code[i:i + len(x)]) * np.uint64(0xBF58476D1CE4E5B9)
+            x ^= x >> np.uint64(29)
+        starts = np.cumsum(sizes + size) - (sizes + size)
+        out += [np.unique(x[a:a + max(1, n - size + 1)]) for a, n in zip(starts.tolist(), sizes.tolist())]
+    return out
 
 
-def similar(a: set[str], b: set[str], least: float = SIMILARITY) -> bool:
-    """Exact Jaccard similarity of at least ``least``."""
+def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether the exact Jaccard similarity of two shingle sets is at least ``least``."""
     small, large = (a, b) if len(a) <= len(b) else (b, a)
     if len(small) < least * len(large):
         return False
-    both = len(small & large)
+    at = np.minimum(large.searchsorted(small), len(large) - 1)
+    both = np.count_nonzero(large[at] == small)
     return both >= least * (len(a) + len(b) - both)
 
 
@@ -70,14 +97,9 @@ def signatures(lines: list[str], size: int = SHINGLE, count: int = BANDS * ROWS)
     odd = rng.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     turn = rng.integers(0, 1 << 32, count, dtype=np.uint32)
     place = rng.integers(0, 1 << 31, size, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-    out = np.empty((len(lines), count), np.uint32)
-    at = 0
-    while at < len(lines):
-        end, chars = at, 0
-        while end < len(lines) and (end == at or chars < 50_000):
-            chars += len(lines[end]) + size
-            end += 1
-        part = lines[at:end]
+    out, at = np.empty((len(lines), count), np.uint32), 0
+    for part in runs_of(lines):
+        end = at + len(part)
         sizes = np.fromiter(map(len, part), np.int64, len(part))
         gap = "\0" * size
         code = np.frombuffer((gap.join(part) + gap + gap).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -111,18 +133,25 @@ def band_keys(sig: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarr
 def _lines(batches: Iterator) -> Iterator:
     """Texts to their visible lines."""
     import pyarrow as pa
+    import xxhash
 
     for batch in batches:
-        rows = []
-        for doc_id, text_hash, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            for line_no, line in enumerate((text.as_py() or "").split("\n")):
-                line = plain_line(line)
-                if line:
-                    rows.append((doc_id, text_hash, line_no, *line_hash(line)))
-        columns = list(zip(*rows)) or [[]] * 5
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                         names=["doc_id", "text_hash", "line_no", "h", "h2"])
+        for at in range(0, batch.num_rows, 1_000):
+            part = batch.slice(at, 1_000)
+            count, numbers, digests = [], [], []
+            for text in part.column(2):
+                before = len(numbers)
+                for line_no, line in enumerate((text.as_py() or "").split("\n")):
+                    line = plain_line(line)
+                    if line:
+                        numbers.append(line_no)
+                        digests.append(xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
+                count.append(len(numbers) - before)
+            rows = pa.array(np.repeat(np.arange(part.num_rows), count))
+            halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(rows), part.column(1).take(rows), pa.array(numbers, pa.int32()),
+                 pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())], names=["doc_id", "text_hash", "line_no", "h", "h2"])
 
 
 def distinct_lines(texts) -> tuple[list[int], list[str]]:
@@ -156,55 +185,33 @@ def _texts(batches: Iterator) -> Iterator:
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(lines, pa.string())], names=["h", "line"])
 
 
-def _entries(batches: Iterator) -> Iterator:
-    """Rows sorted by (key, h) to the members of entries with several lines, as a stream."""
-    import pyarrow as pa
-
-    last_key, rep, last, told = None, None, None, False
-    for batch in batches:
-        keys, hs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        # Only rows whose key a neighbour shares can matter, and those at the ends.
-        keep = np.ones(len(keys), bool)
-        if len(keys) > 2:
-            same = keys[1:] == keys[:-1]
-            keep[1:-1] = same[:-1] | same[1:]
-        out = []
-        for key, h in zip(keys[keep].tolist(), hs[keep].tolist()):
-            if key != last_key:
-                last_key, rep, last, told = key, h, h, False
-            elif h != last:
-                if not told:
-                    out.append((key, rep, rep))
-                    told = True
-                out.append((key, h, rep))
-                last = h
-        columns = list(zip(*out)) or [[]] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "h", "rep"])
-
-
 def _against_first(batches: Iterator) -> Iterator:
     """Rows ``(rep, salt, own, h, line)``, each run led by the rep's own line, to links."""
     import pyarrow as pa
 
     run, held = None, None
     for batch in batches:
-        us, vs = [], []
-        for rep, salt, own, h, line in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if own:
-                run, held = (rep, salt), shingles(line)
-            elif run == (rep, salt) and similar(held, shingles(line)):
-                us.append(h)
-                vs.append(rep)
-        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
-
-
-def _across(rows):
-    """Links between lines of different components within two blocks of an entry."""
-    import pandas as pd
-
-    left, right = rows[rows.side == 0], rows[rows.side == 1]
-    sets = {h: shingles(line) for h, line in zip(rows.h, rows.line)}
-    parent = {c: c for c in rows.root}
+        for at in range(0, batch.num_rows, 1_000):
+            reps, salts, owns, hs, lines = (c.to_pylist() for c in batch.slice(at, 1_000).columns)
+            us, vs = [], []
+            for rep, salt, own, h, found in zip(reps, salts, owns, hs, shingle_sets(lines)):
+                if own:
+                    run, held = (rep, salt), found
+                elif run == (rep, salt) and similar(held, found):
+                    us.append(h)
+                    vs.append(rep)
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+
+def across(cell: list[tuple]) -> list[tuple[int, int]]:
+    """Spanning links between lines of different components in the two blocks of a cell.
+
+    ``cell`` holds ``(side, h, root, line)``; the rows of one side alone are compared
+    among themselves.
+    """
+    left, right = [x for x in cell if x[0] == 0], [x for x in cell if x[0] == 1]
+    sets = dict(zip((x[1] for x in cell), shingle_sets([x[3] for x in cell])))
+    parent = {x[2]: x[2] for x in cell}
 
     def find(c: int) -> int:
         while parent[c] != c:
@@ -212,15 +219,31 @@ def _across(rows):
             c = parent[c]
         return c
 
-    us, vs = [], []
-    for a, ca in zip(left.h, left.root):
-        for b, cb in zip(right.h, right.root):
+    links = []
+    for k, (_, a, ca, _) in enumerate(left):
+        for _, b, cb, _ in right or left[k + 1:]:
             ra, rb = find(ca), find(cb)
             if ra != rb and similar(sets[a], sets[b]):
                 parent[ra] = rb
-                us.append(a)
-                vs.append(b)
-    return pd.DataFrame({"u": np.array(us, np.int64), "v": np.array(vs, np.int64)})
+                links.append((a, b))
+    return links
+
+
+def _across(batches: Iterator) -> Iterator:
+    """Rows ``(key, i, j, side, h, root, line)`` sorted by cell to links."""
+    import pyarrow as pa
+
+    cell, rows = None, []
+    for batch in batches:
+        out = []
+        for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if (key, i, j) != cell:
+                out += across(rows) if rows else []
+                cell, rows = (key, i, j), []
+            rows.append(tuple(row))
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["u", "v"])
+    out = across(rows) if rows else []
+    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -230,8 +253,10 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def line_links(docs: DataFrame) -> DataFrame:
     """``(node, root)`` for the lines that are similar to another one."""
     texts = docs.select("text")
-    spread = texts.mapInArrow(_bands, "key long, h long").repartition("key").sortWithinPartitions("key", "h")
-    members = materialize(spread.mapInArrow(_entries, "key long, h long, rep long"), "members")
+    entry = Window.partitionBy("key")
+    bands = texts.mapInArrow(_bands, "key long, h long").select(
+        "key", "h", F.min("h").over(entry).alias("rep"), F.max("h").over(entry).alias("last"))
+    members = materialize(bands.where("rep < last").select("key", "h", "rep").distinct(), "members")
     pairs = materialize(members.select("rep", "h").distinct(), "pairs")
     lines = texts.mapInArrow(_texts, "h long, line string").join(pairs.select("h").distinct(), "h", "left_semi")
     lines = materialize(lines.dropDuplicates(["h"]), "lines")
@@ -256,14 +281,17 @@ def line_links(docs: DataFrame) -> DataFrame:
     several = materialize(several.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "several")
     mine = F.pmod(F.xxhash64("h"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    cells = placed.join(several, "key").select("key", "h", "root", mine.alias("mine"), every.alias("every"))
-    # A block pair (i, j) with i <= j is worked once; i's rows are on the left, j's on the right.
-    as_left = cells.select("key", "h", "root", F.lit(0).alias("side"), F.col("mine").alias("i"), F.explode("every").alias("j"))
-    as_right = cells.select("key", "h", "root", F.lit(1).alias("side"), F.explode("every").alias("i"), F.col("mine").alias("j"))
-    blocks = as_left.unionByName(as_right).where("i <= j").join(lines, "h")
-    across = blocks.groupBy("key", "i", "j").applyInPandas(_across, "u long, v long")
+    cells = placed.join(several, "key").select("key", "h", "root", mine.alias("mine"), "blocks")
+    # A cell (i, j) with i < j has block i on side 0 and block j on side 1; (i, i) has one side.
+    later, earlier = F.sequence("mine", F.col("blocks") - 1), F.slice(every, F.lit(1), F.col("mine"))
+    as_left = cells.select("key", F.col("mine").alias("i"), F.explode(later).alias("j"), F.lit(0).alias("side"), "h", "root")
+    as_right = cells.select("key", F.explode(earlier).alias("i"), F.col("mine").alias("j"), F.lit(1).alias("side"), "h", "root")
+    rows = as_left.unionByName(as_right).join(lines, "h").select("key", "i", "j", "side", "h", "root", "line")
+    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "h")
+    # Stored, so that no stage runs two Python steps, and with them twice the workers.
+    linked = materialize(rows.mapInArrow(_across, "u long, v long"), "across")
     stars = roots.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
-    return components(stars.unionByName(across))
+    return components(stars.unionByName(linked))
 
 
 def line_groups(docs: DataFrame) -> DataFrame:

@@ -171,7 +171,8 @@ def links(nodes: DataFrame, distance: int = DISTANCE, plan: list[tuple[int, int,
         probe.join(hot, ["segment", "entry"]).select(
             "segment", "entry", every.alias("i"), own.alias("j"), F.lit(1).alias("role"), "bits", "id"))
     blocks = cells.groupBy("segment", "entry", "i", "j").applyInPandas(_crowded_links(distance), "u long, v long")
-    return plain.unionByName(blocks)
+    # Stored, so that no stage runs two Python steps, and with them twice the workers.
+    return materialize(plain.unionByName(blocks), "links")
 
 
 def near_groups(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:

@@ -15,7 +15,7 @@ import re
 
 import numpy as np
 
-MOST_CHUNKS = 300_000
+MOST_CHUNKS = 200_000
 # Letters that NFC leaves alone and that have one lower-case letter each.
 LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
