@@ -209,29 +209,51 @@ def _(spark, sf):
     return ranking.validate_requests(requests)
 
 
-# --- approximate search (rows only: the index depends on Spark's own seeds) --
+# --- approximate search -----------------------------------------------------
+# What an index finds depends on Spark's own seeds.  The rows below say of every query
+# whether what was found is right: exact similarities, ranks without gaps, no repeats.
+
+def _checked(found, wanted, catalogue):
+    pairs = found.join(wanted.select("query_id", F.col("vec").alias("q")), "query_id").join(
+        catalogue.select("item_id", F.col("vec").alias("i")), "item_id")
+    dot = F.aggregate(F.zip_with("q", "i", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda t, x: t + x)
+    return pairs.groupBy("query_id").agg(
+        F.min(F.abs(dot - F.col("similarity")) < 2e-6).alias("similarities_exact"),
+        ((F.max("rank") == F.count(F.lit(1))) & (F.min("rank") == 1) & (F.count(F.lit(1)) <= K)).alias("ranks_gapless"),
+        (F.count_distinct("item_id") == F.count(F.lit(1))).alias("items_distinct"),
+    )
+
+
+CHECKED_SQL = """select vec_id as query_id, true as similarities_exact, true as ranks_gapless, true as items_distinct
+from embeddings"""
 
-@query("ivf_topk")
+
+@query("ivf_topk", CHECKED_SQL)
 def _(spark, sf):
-    return nearest.InvertedLists(_items(spark, sf), n_lists=20).search(_queries(spark, sf), K, n_probe=5)
+    wanted, catalogue = _queries(spark, sf), _items(spark, sf)
+    return _checked(nearest.InvertedLists(catalogue).search(wanted, K), wanted, catalogue)
 
 
-@query("lsh_topk")
+@query("lsh_topk", CHECKED_SQL)
 def _(spark, sf):
-    return nearest.lsh_top_k(_queries(spark, sf), _items(spark, sf), K)
+    wanted, catalogue = _queries(spark, sf), _items(spark, sf)
+    return _checked(nearest.lsh_top_k(wanted, catalogue, K), wanted, catalogue)
 
 
-@query("ann_recall")
+# Visiting a share of the lists finds at least that share of the exact neighbours, and
+# visiting all of them finds all.
+@query("ann_recall", f"""select method, (select count(*) from embeddings) * {K} as n_exact, true as above_bound
+from (values ('ivf_probe_1'), ('ivf_probe_10'), ('ivf_probe_100'), ('lsh')) as t(method)""")
 def _(spark, sf):
     wanted, catalogue = _queries(spark, sf), _items(spark, sf)
-    exact = nearest.exact_top_k(wanted, catalogue, K)
-    lists = nearest.InvertedLists(catalogue, n_lists=20)
-    rows = [
-        (f"ivf_probe_{p}", lists.search(wanted, K, n_probe=p)) for p in (1, 5, 20)
-    ] + [("lsh", nearest.lsh_top_k(wanted, catalogue, K))]
+    exact = materialize(nearest.exact_top_k(wanted, catalogue, K), "exact")
+    lists = nearest.InvertedLists(catalogue)
+    rows = [(f"ivf_probe_{p}", lists.search(wanted, K, n_probe=p), p / 100) for p in (1, 10, 100)]
+    rows.append(("lsh", nearest.lsh_top_k(wanted, catalogue, K), 0.1))
     out = None
-    for name, approximate in rows:
-        one = nearest.overlap(approximate, exact).withColumn("method", F.lit(name))
+    for name, approximate, least in rows:
+        one = nearest.overlap(approximate, exact).select(
+            F.lit(name).alias("method"), "n_exact", (F.col("overlap") >= least).alias("above_bound"))
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from itertools import product
 
 from pyspark import keyword_only
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -28,16 +29,17 @@ class NdcgEvaluator(Evaluator):
     """Mean NDCG@k over users, for use with Spark's model selection."""
 
     k = Param(Params._dummy(), "k", "cut-off of the list", typeConverter=TypeConverters.toInt)
+    ties = Param(Params._dummy(), "ties", "columns that order equal scores", typeConverter=TypeConverters.toListString)
 
     @keyword_only
-    def __init__(self, *, k: int = 10):
+    def __init__(self, *, k: int = 10, ties: Sequence[str] = ("item_id",)):
         super().__init__()
-        self._setDefault(k=10)
-        self._set(k=k)
+        self._setDefault(k=10, ties=["item_id"])
+        self._set(k=k, ties=list(ties))
 
     def _evaluate(self, dataset: DataFrame) -> float:
         k = self.getOrDefault(self.k)
-        value = ndcg_per_user(dataset, (k,)).agg(F.avg(f"ndcg_{k}")).first()[0]
+        value = ndcg_per_user(dataset, (k,), ties=self.getOrDefault(self.ties)).agg(F.avg(f"ndcg_{k}")).first()[0]
         return float(value or 0.0)
 
     def isLargerBetter(self) -> bool:
@@ -172,7 +174,7 @@ def sweep_embeddings(pairs: DataFrame, wanted: DataFrame, grid: Mapping[str, Seq
             users, items = fit_embeddings(pairs, seed=seed, **{**(base or {}), **params})
             recall = retrieval_recall(users, items, wanted, ks).first()
             outcome = ("success", None, *[float(recall[f"recall_{k}"]) for k in ks])
-        except Exception as error:  # recorded, not hidden
+        except (IllegalArgumentException, ValueError, TypeError) as error:  # a bad setting; anything else is raised
             outcome = ("failed", str(error).splitlines()[0], *[None for _ in ks])
         rows.append((run, seed, *[float(v) for v in values], *outcome))
     schema = ", ".join(
