@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from winnow.catalog.bindings import *  # noqa: F403
 from winnow.catalog.bindings import R
 from winnow.catalog.feature_queries import NUMERIC
-from winnow.catalog.registry import query
+from winnow.catalog.registry import ORACLES, query
 from winnow.operators import drift
+from winnow.sources import files
 from winnow.streaming import drift_stream
 
 FEATURES = f"""{stats_ctes()}, {features_sql()},
@@ -35,6 +36,14 @@ def _(spark, sf):
     return drift.feature_baseline(_train_long(spark, sf))
 
 
+@query("baseline_roundtrip", ORACLES["feature_baseline"])
+def _(spark, sf):
+    """The baseline as a later run reads it."""
+    path = staging_path(spark, "baseline")
+    files.save_table(drift.feature_baseline(_train_long(spark, sf)), path)
+    return files.read_table(spark, path)
+
+
 def edges_sql(source: str) -> str:
     """CTEs ``bins(feature, bin, lower, upper, last)`` from distinct quantile edges."""
     return f"""cuts as (select feature, list_sort(list_distinct(quantile_cont(value, [{', '.join(str(i / 10) for i in range(11))}]))) as e
@@ -232,6 +241,22 @@ def _(spark, sf):
     return drift.latest_status(drift_stream.windowed_summary(_windowed_report(spark, sf)))
 
 
+@query("report_history_table", f"""with {WINDOW_STATUS}, n as (select count(*) as n_reports from s)
+select window_start, num_features, num_alert, num_warning, status, n_reports from s cross join n order by window_start desc limit 5""")
+def _(spark, sf):
+    """Reports appended in two runs to one table; history and status come from the table."""
+    path = staging_path(spark, "reports")
+    reports = drift_stream.windowed_summary(_windowed_report(spark, sf)).select(
+        "window_start", "num_features", "num_alert", "num_warning", "status")
+    reports = materialize(reports, "reports")
+    newest_window = reports.agg(F.max("window_start")).first()[0]
+    files.append_reports(reports.where(F.col("window_start") < newest_window), path)
+    files.append_reports(reports.where(F.col("window_start") >= newest_window), path)
+    stored = files.read_table(spark, path)
+    newest = drift.latest_status(stored).select("n_reports")
+    return drift.report_history(stored, 5).join(F.broadcast(newest))  # one row
+
+
 # --- streams, drained and compared with the same SQL ------------------------
 
 def _drain(spark, sf, build, keys, mode, transform=None):

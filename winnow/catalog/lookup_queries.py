@@ -160,3 +160,15 @@ select count(*) as total_requests, count(*) filter (source = 'primary') as hits,
 from looked""")
 def _(spark, sf):
     return kv.lookup_stats(_user_lookup(spark, sf))
+
+
+# The event table read as a log of lookups: its values are latencies.
+@query("lookup_log_stats", f"""with log as (select case when event_type in ('click', 'view') then 'primary'
+  when event_type = 'purchase' then 'fallback' else 'error' end as source, value as latency_ms from events)
+select count(*) as total_requests, count(*) filter (source = 'primary') as hits, count(*) filter (source = 'fallback') as misses,
+  count(*) filter (source = 'error') as errors, {R("count(*) filter (source = 'primary') / count(*)")} as hit_rate,
+  {R("count(*) filter (source = 'error') / count(*)")} as error_rate, {R("coalesce(avg(latency_ms), 0)")} as mean_latency_ms from log""")
+def _(spark, sf):
+    kind = F.col("event_type")
+    source = F.when(kind.isin("click", "view"), "primary").when(kind == "purchase", "fallback").otherwise("error")
+    return kv.lookup_log_stats(table(spark, sf, "events").select(source.alias("source"), F.col("value").alias("latency_ms")))

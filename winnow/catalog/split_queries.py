@@ -9,6 +9,7 @@ from winnow.catalog.bindings import R
 from winnow.catalog.registry import joined_text, query
 from winnow.operators import ids, splits
 from winnow.operators.losses import bpr_loss, inbatch_softmax_loss, pair_scores
+from winnow.sources import files
 
 SPLIT = split_sql()
 EARLY_SPLIT = split_sql(*EARLY)
@@ -98,6 +99,16 @@ def _(spark, sf):
     return ids.verify_id_map(_early_maps(spark, sf)[2], "item_id", "item_idx")
 
 
+@query("id_map_roundtrip", f"with {EARLY_MAPS} select *, true as verified from item_map")
+def _(spark, sf):
+    """The map written, read again and verified after that."""
+    path = staging_path(spark, "id-map")
+    files.save_table(_early_maps(spark, sf)[2], path)
+    stored = files.read_table(spark, path)
+    checks = ids.verify_id_map(stored, "item_id", "item_idx").select((F.col("bijective") & F.col("contiguous")).alias("verified"))
+    return stored.join(F.broadcast(checks))  # one row
+
+
 PAIRS = f"""{EARLY_MAPS},
 pairs as (select user_idx, item_idx, split, order_key, line_number from split join user_map using (user_id)
   join item_map using (item_id) where rating >= 4)"""

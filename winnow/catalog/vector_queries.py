@@ -12,7 +12,7 @@ from winnow.functions.hashing import seeded_int, seeded_key
 from winnow.functions.vectors import l2_normalize
 from winnow.operators import features, nearest, ranking
 from winnow.operators.losses import pair_scores
-from winnow.plans.recommend import merge_rankings, recommend, retrieve
+from winnow.plans.recommend import merge_rankings, recommend, recommend_requests, retrieve
 
 SEED = 7
 K, POOL = 10, 100
@@ -209,6 +209,18 @@ def _(spark, sf):
     return ranking.validate_requests(requests)
 
 
+# Some users are unknown, some ask for nothing or too much, some for more than the pool.
+@query("recommend_requests", f"""with {RANKED}, r as (select c_custkey as user_id, c_nationkey * 10 as k from customer),
+v as (select *, case when user_id <= 0 then 'user_id must be positive' when k <= 0 then 'k must be positive'
+  when k > 200 then 'k must be at most 200' end as reason from r)
+select v.user_id, v.k, v.reason, case when v.reason is not null then 'rejected' when f.user_id is null then 'unknown user'
+  else 'answered' end as status, f.item_id, {R('f.score')} as score, cast(f.rank as integer) as rank, {R('f.similarity')} as similarity
+from v left join final f on v.user_id = f.user_id and f.rank <= v.k and v.reason is null""")
+def _(spark, sf):
+    requests = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), (F.col("c_nationkey") * 10).alias("k"))
+    return recommend_requests(requests, _pool(spark, sf), _trained(spark, sf), max_k=200, score=_score())
+
+
 # --- approximate search -----------------------------------------------------
 # What an index finds depends on Spark's own seeds.  The rows below say of every query
 # whether what was found is right: exact similarities, ranks without gaps, no repeats.

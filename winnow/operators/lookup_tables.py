@@ -110,3 +110,19 @@ def lookup_stats(lookups: DataFrame) -> DataFrame:
         F.coalesce(F.try_divide(hits.cast("double"), n), F.lit(0.0)).alias("hit_rate"),
         F.coalesce(F.try_divide(misses.cast("double"), n), F.lit(0.0)).alias("fallback_rate"),
     )
+
+
+def lookup_log_stats(log: DataFrame) -> DataFrame:
+    """Requests, hits, fallbacks, errors, rates and mean latency of a lookup log.
+
+    ``log`` holds ``source`` (``primary``, ``fallback`` or ``error``) and ``latency_ms``.
+    """
+    n = F.count(F.lit(1))
+    counts = {name: F.count_if(F.col("source") == kind) for name, kind in
+              (("hits", "primary"), ("misses", "fallback"), ("errors", "error"))}
+    share = lambda c: F.coalesce(F.try_divide(c.cast("double"), n), F.lit(0.0))
+    return log.agg(
+        n.alias("total_requests"), *[c.alias(name) for name, c in counts.items()],
+        share(counts["hits"]).alias("hit_rate"), share(counts["errors"]).alias("error_rate"),
+        F.coalesce(F.avg("latency_ms"), F.lit(0.0)).alias("mean_latency_ms"),
+    )

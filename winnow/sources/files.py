@@ -95,3 +95,17 @@ def read_embeddings(spark: SparkSession, path: str, key: str, vector: str) -> Da
 
 def write_embeddings(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
+
+
+def save_table(df: DataFrame, path: str) -> None:
+    """A baseline, histogram edges or an id map, to be read again by later runs."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def append_reports(reports: DataFrame, path: str) -> None:
+    """Adds reports to a history; every call adds files and rewrites none."""
+    reports.write.mode("append").parquet(path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
