@@ -44,8 +44,8 @@ def test_bins(spark):
 
 def test_mean_shift(spark):
     z = drift.mean_shift_z
-    row = one(spark, a=z(*lits(3.5, 1.0, 4.2)), b=z(*lits(1, 0, 2)), c=z(*lits(1, 0, 1)), d=z(*lits(1, 1e-10, 2)))
-    assert row["a"] == pytest.approx(0.7) and row["b"] == math.inf and row["c"] == 0
+    row = one(spark, a=z(*lits(10.0, 4.0, 7.0)), b=z(*lits(1, 0, 2)), c=z(*lits(1, 0, 1)), d=z(*lits(1, 1e-10, 2)))
+    assert row["a"] == pytest.approx(0.75) and row["b"] == math.inf and row["c"] == 0
     assert row["d"] == pytest.approx(1e10)  # the stored floor is not treated as constant
 
 

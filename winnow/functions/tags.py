@@ -12,13 +12,20 @@ def tokens(packed: Column) -> Column:
     return F.split(packed, r"\|")
 
 
+# What becomes of characters of a tag in its column name.
+SLUG_CHANGES = {"-": "_", "'": ""}
+
+
 def slug(tag: str) -> str:
     """Column-name form of a tag."""
-    return tag.lower().replace("-", "_").replace("'", "")
+    return tag.lower().translate(str.maketrans(SLUG_CHANGES))
 
 
 def slug_column(tag: Column) -> Column:
-    return F.replace(F.replace(F.lower(tag), F.lit("-"), F.lit("_")), F.lit("'"), F.lit(""))
+    out = F.lower(tag)
+    for old, new in SLUG_CHANGES.items():
+        out = F.replace(out, F.lit(old), F.lit(new))
+    return out
 
 
 def flag(packed: Column, tag: str, mode: str = "substring") -> Column:
