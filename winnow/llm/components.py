@@ -73,19 +73,18 @@ def local_forest(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the edges; the root is its component's smallest node."""
     current = materialize(local_forest(edges.where("u is not null and v is not null and u <> v")).distinct(), "stars")
-    before = None
-    while True:
-        row = current.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("nodes"),
-                          F.bit_xor(F.xxhash64("u", "v")).alias("mix")).first()
-        state = (row["n"], row["mix"])
-        if state == before or row["n"] == 0:
-            break
-        before = state
+    while not _is_stars(current):
         current = _half(_half(current, large=True), large=False)
     stars = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return stars.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _is_stars(current: DataFrame) -> bool:
+    """Whether every larger node has one edge and no smaller node is a larger one as well."""
+    row = current.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("u").alias("nodes")).first()
+    return row["n"] == row["nodes"] and current.select("v").join(current.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def _half(current: DataFrame, large: bool) -> DataFrame:
     """Points the larger (or the smaller) neighbours of each node at its smallest one."""
     both = current.select("u", "v")
