@@ -35,7 +35,7 @@ from winnow.runtime import materialize
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 6, 12, 5, 0.8
 # Partners of one line that are verified in one run, and lines per block side.
-SPREAD, BLOCK = 4_096, 256
+SPREAD, BLOCK = 256, 256
 LINES = "doc_id long, text_hash long, line_no int, h long, h2 long"
 SEED = 11
 
