@@ -142,6 +142,29 @@ def test_classifier_learns_and_keeps(documents, spark, extra):
     assert np.array_equal(*shares)
 
 
+def test_training_sees_every_chunk(documents, spark):
+    # Ten chunks each; what tells the labels apart stands in the fifth or the eighth only.
+    rng, rows = random.Random(8), []
+    for i in range(300):
+        text = talk(rng, "abcdefg", 1_200)[:9 * quality.STEP + quality.CHUNK]
+        at = (4 if rng.random() < 0.5 else 7) * quality.STEP + 100
+        rows.append((i, text if i % 2 else text[:at] + "#!ABCDEF" * 25 + text[at + 200:]))
+    assert {len(quality.chunk_starts(len(t))) for _, t in rows} == {10}
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, label int")
+    got = quality.scored(documents(rows), labels, steps=100).where("held_out").collect()
+    assert len(got) > 30 and np.mean([r.predicted == r.doc_id % 2 for r in got]) > 0.95
+
+
+@pytest.mark.parametrize("longer", [False, True])
+def test_held_out_accuracy_of_short_and_long_texts(spark, longer):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    marks = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    size = F.octet_length("text") - (quality.CHUNK - quality.STEP) > 4 * quality.STEP
+    ids = {r.doc_id for r in docs.where(size == longer).select("doc_id").collect()} & marks.keys()
+    got = [r for r in op9_quality(spark, "/root/testdata/sf0.01").where("held_out").collect() if r.doc_id in ids]
+    assert len(got) >= 20 and np.mean([r.predicted == marks[r.doc_id] for r in got]) > 0.95
+
+
 def test_classifier_without_labels_and_rows(documents, spark):
     none = spark.createDataFrame([], "doc_id long, label int")
     got = quality.scored(documents([(1, "a"), (2, None)]), none).collect()

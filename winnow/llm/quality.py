@@ -4,9 +4,10 @@ Bytes are embedded, learned filters run over overlapping windows along the whole
 their responses are max-pooled within overlapping chunks, and the mean and the maximum
 over all chunks are combined into one probability.  Training is plain back-propagation
 with Adam on a bounded sample: about ``sample_docs`` documents per label, drawn by a
-hash of their id, and at most ``train_chunks`` chunks of each, spread over its length.
-Weights restore the shares of the labels.  The fitted numbers are a few kilobytes and
-travel with the job.
+hash of their id, each with all of its chunks, so features are pooled in training as
+they are in scoring.  The driver holds the texts of the sample; fewer ``sample_docs``
+need less.  Weights restore the shares of the labels.  The fitted numbers are a few
+kilobytes and travel with the job.
 
 Defined cases: null and empty texts are scored as one window of zero bytes; a text of
 any length is scored as a whole, in blocks; with one label only, or none, the score is
@@ -31,7 +32,6 @@ CHUNK, STEP = 512, 448
 WIDTH, STRIDE = 8, 2
 DEPTH, FILTERS = 8, 24
 SAMPLE_DOCS = 2_000
-TRAIN_CHUNKS = 4
 STEPS, BATCH, RATE = 750, 64, 0.006
 THRESHOLD = 0.3
 BLOCK_CHUNKS = 128
@@ -92,10 +92,13 @@ class Network:
     def gradients(self, chunks: np.ndarray, doc: np.ndarray, label: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
         """Gradients of the weighted log loss; ``doc`` names the document of each chunk, in order."""
         n, k = len(label), len(chunks)
-        windows = self.windows(chunks)
-        response = (windows @ self.kernel).reshape(k, PLACES, FILTERS)
-        place = response.argmax(1)
-        peak = np.take_along_axis(response, place[:, None], 1)[:, 0] + self.shift
+        place, peak = np.empty((k, FILTERS), np.int64), np.empty((k, FILTERS), np.float32)
+        for at in range(0, k, BLOCK_CHUNKS):
+            block = slice(at, at + BLOCK_CHUNKS)
+            response = (self.kernel.T @ self.windows(chunks[block]).T).reshape(FILTERS, -1, PLACES)
+            best = response.argmax(2)
+            place[block] = best.T
+            peak[block] = np.take_along_axis(response, best[:, :, None], 2)[:, :, 0].T + self.shift
         held = np.maximum(peak, 0)
         count = np.bincount(doc, minlength=n).astype(np.float32)
         first = np.concatenate([[0], np.cumsum(count)[:-1]]).astype(int)
@@ -108,20 +111,17 @@ class Network:
         shared = np.add.reduceat(at_top.astype(np.float32), first, axis=0)
         g = back[doc, :FILTERS] / count[doc, None] + at_top * (back[:, FILTERS:] / shared)[doc]
         g *= peak > 0
-        rows = (np.arange(k)[:, None] * PLACES + place).ravel()
-        filters = np.tile(np.arange(FILTERS), k)
-        picked, flat = windows[rows], g.ravel()
-        kernel = np.zeros((FILTERS, WIDTH * DEPTH), np.float32)
-        np.add.at(kernel, filters, picked * flat[:, None])
-        into = (flat[:, None] * self.kernel.T[filters]).reshape(-1, DEPTH)
-        seen = chunks[np.repeat(np.arange(k), FILTERS)[:, None], place.ravel()[:, None] * STRIDE + np.arange(WIDTH)].ravel()
-        embedding = np.zeros_like(self.bytes)
-        np.add.at(embedding, seen, into)
+        # Summed by filter, place in the window and byte; both gradients follow from these sums.
+        seen = chunks[np.arange(k)[:, None, None], place[:, :, None] * STRIDE + np.arange(WIDTH)]
+        cell = np.arange(FILTERS * WIDTH).reshape(FILTERS, WIDTH) * 256 + seen
+        sums = np.bincount(cell.ravel(), np.repeat(g.ravel(), WIDTH), FILTERS * WIDTH * 256).reshape(FILTERS, WIDTH, 256).astype(np.float32)
+        kernel = (sums @ self.bytes).reshape(FILTERS, WIDTH * DEPTH)
+        embedding = np.tensordot(sums, self.kernel.T.reshape(FILTERS, WIDTH, DEPTH), ((0, 1), (0, 1)))
         return [embedding, kernel.T, g.sum(0), features.T @ slope, np.array([slope.sum()], np.float32)]
 
 
 def train(docs: list[np.ndarray], labels: np.ndarray, shares: np.ndarray, steps: int = STEPS, seed: int = 3) -> Network:
-    """Fits to documents given as ``chunks x CHUNK`` arrays; ``shares`` are those of labels 0 and 1."""
+    """Fits to whole documents given as arrays of bytes; ``shares`` are those of labels 0 and 1."""
     net, rng = Network(seed, float(np.clip(shares[1], 0.01, 0.99))), np.random.default_rng(seed)
     counts = np.bincount(labels, minlength=2)
     if not counts.all():
@@ -133,8 +133,9 @@ def train(docs: list[np.ndarray], labels: np.ndarray, shares: np.ndarray, steps:
         if len(waiting) < min(BATCH, len(docs)):
             waiting = np.concatenate([waiting, rng.permutation(len(docs))])
         take, waiting = waiting[:BATCH], waiting[BATCH:]
-        doc = np.repeat(np.arange(len(take)), [len(docs[i]) for i in take])
-        grads = net.gradients(np.concatenate([docs[i] for i in take]), doc, labels[take].astype(np.float32), weights[take])
+        chunks = [chunks_of(docs[i], chunk_starts(len(docs[i]))) for i in take]
+        doc = np.repeat(np.arange(len(take)), [len(c) for c in chunks])
+        grads = net.gradients(np.concatenate(chunks), doc, labels[take].astype(np.float32), weights[take])
         rate = RATE * (1 - step / (steps + 1))
         for p, g, m in zip(net.parameters(), grads, moments):
             m[0] = 0.9 * m[0] + 0.1 * g
@@ -143,38 +144,19 @@ def train(docs: list[np.ndarray], labels: np.ndarray, shares: np.ndarray, steps:
     return net
 
 
-def _take_chunks(train_chunks: int):
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            data, starts, sizes = joined_bytes(batch.column(2))
-            out = []
-            for a, n in zip(starts.tolist(), sizes.tolist()):
-                at = chunk_starts(n)
-                if len(at) > train_chunks:
-                    at = at[np.linspace(0, len(at) - 1, train_chunks).round().astype(int)]
-                out.append(chunks_of(data[a:a + n], at).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["doc_id", "label", "chunks"])
-
-    return run
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, train_chunks: int = TRAIN_CHUNKS,
-        steps: int = STEPS) -> Network:
-    """Learns ``label`` of ``(doc_id, label)`` from the texts of ``docs``."""
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> Network:
+    """Learns ``label`` of ``(doc_id, label)`` from the whole texts of the sampled ``docs``."""
     known = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("int"))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     total = sum(counts.values())
     shares = np.array([counts.get(0, 0), counts.get(1, 0)]) / max(1, total) if total else np.array([0.5, 0.5])
     # The draw is bounded, so its ids can be sent to every task.
     drawn = F.broadcast(bounded_sample(known, "label", sample_docs))
-    text = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = text.join(drawn, "doc_id").select(F.col("doc_id").cast("long"), "label", "text").mapInArrow(
-        _take_chunks(train_chunks), "doc_id long, label int, chunks binary").toPandas()
-    rows = rows.sort_values(["doc_id", "label"], kind="stable")
-    chunks = [np.frombuffer(c, np.uint8).reshape(-1, CHUNK) for c in rows.chunks]
-    return train(chunks, rows.label.to_numpy(np.int64), shares, steps)
+    text = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    rows = text.join(drawn, "doc_id").select(F.col("doc_id").cast("long"), "label", "text").toArrow()
+    rows = rows.take(np.lexsort((rows["label"].to_numpy(), rows["doc_id"].to_numpy())))
+    texts = [np.frombuffer(t, np.uint8) for t in rows["text"].to_pylist()]
+    return train(texts, rows["label"].to_numpy().astype(np.int64), shares, steps)
 
 
 def _predict(net: Network, threshold: float):
