@@ -84,6 +84,24 @@ def test_lsh_scores_few_pairs_of_clustered_vectors(spark):
     assert found["overlap"] >= 0.8 and scored < 0.1 * 200 * 2_000
 
 
+def test_default_approximate_search_has_recall_and_all_hits(spark):
+    # Unstructured vectors, the hardest case, and clusters of three, smaller than k.
+    rng = np.random.default_rng(11)
+    loose = rng.normal(size=(400, 32))
+    tight = np.repeat(rng.normal(size=(130, 32)), 3, axis=0) + rng.normal(0, 0.02, (390, 32))
+    for vectors in (loose, tight):
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        rows = frame(spark, vectors, "item_id").cache()
+        asked = frame(spark, vectors, "query_id").cache()
+        exact = nearest.exact_top_k(asked, rows, 10).cache()
+        for found in (nearest.lsh_top_k(asked, rows, 10), nearest.InvertedLists(rows, n_lists=20).search(asked, 10)):
+            assert nearest.overlap(found, exact).first()["overlap"] >= 0.9
+            assert {r["count"] for r in found.groupBy("query_id").count().collect()} == {10}
+        # Queries that meet too few items are searched exactly.
+        narrow = nearest.lsh_top_k(asked, rows, 10, tables=1, projections=8, bucket_length=0.2)
+        assert {r["count"] for r in narrow.groupBy("query_id").count().collect()} == {10}
+
+
 def test_similarity_moments_over_blocks(sides):
     row = nearest.similarity_moments(*sides, sample=1000, block_rows=9).first()
     s = QUERIES @ ITEMS.T

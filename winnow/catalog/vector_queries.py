@@ -223,15 +223,17 @@ def _(spark, sf):
 
 # --- approximate search -----------------------------------------------------
 # What an index finds depends on Spark's own seeds.  The rows below say of every query
-# whether what was found is right: exact similarities, ranks without gaps, no repeats.
+# whether what was found is right: exact similarities, ranks without gaps up to K or the
+# size of the catalogue, no repeats.
 
 def _checked(found, wanted, catalogue):
+    n = min(K, catalogue.count())
     pairs = found.join(wanted.select("query_id", F.col("vec").alias("q")), "query_id").join(
         catalogue.select("item_id", F.col("vec").alias("i")), "item_id")
     dot = F.aggregate(F.zip_with("q", "i", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda t, x: t + x)
     return pairs.groupBy("query_id").agg(
         F.min(F.abs(dot - F.col("similarity")) < 2e-6).alias("similarities_exact"),
-        ((F.max("rank") == F.count(F.lit(1))) & (F.min("rank") == 1) & (F.count(F.lit(1)) <= K)).alias("ranks_gapless"),
+        ((F.max("rank") == F.count(F.lit(1))) & (F.min("rank") == 1) & (F.count(F.lit(1)) == n)).alias("ranks_gapless"),
         (F.count_distinct("item_id") == F.count(F.lit(1))).alias("items_distinct"),
     )
 
@@ -252,8 +254,9 @@ def _(spark, sf):
     return _checked(nearest.lsh_top_k(wanted, catalogue, K), wanted, catalogue)
 
 
-# Visiting a share of the lists finds at least that share of the exact neighbours, and
-# visiting all of them finds all.
+# Hashing with measured settings finds 0.9 of the exact neighbours, and visiting all lists
+# finds all.  One and ten lists are fixed points of the curve below the settings used for
+# search; they find at least their share.
 @query("ann_recall", f"""select method, (select count(*) from embeddings) * {K} as n_exact, true as above_bound
 from (values ('ivf_probe_1'), ('ivf_probe_10'), ('ivf_probe_100'), ('lsh')) as t(method)""")
 def _(spark, sf):
@@ -261,7 +264,7 @@ def _(spark, sf):
     exact = materialize(nearest.exact_top_k(wanted, catalogue, K), "exact")
     lists = nearest.InvertedLists(catalogue)
     rows = [(f"ivf_probe_{p}", lists.search(wanted, K, n_probe=p), p / 100) for p in (1, 10, 100)]
-    rows.append(("lsh", nearest.lsh_top_k(wanted, catalogue, K), 0.1))
+    rows.append(("lsh", nearest.lsh_top_k(wanted, catalogue, K), 0.9))
     out = None
     for name, approximate, least in rows:
         one = nearest.overlap(approximate, exact).select(

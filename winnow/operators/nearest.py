@@ -25,6 +25,11 @@ from winnow.runtime import materialize
 BLOCK_ROWS = 32_768
 MAX_BROADCAST_CELLS = 100_000
 _CELLS = 1 << 22  # similarities held at once inside a task
+# Approximate search asks for a little more than 0.9 of the drawn queries' neighbours.
+TARGET_RECALL = 0.93
+SAMPLE_QUERIES, SAMPLE_PAIRS = 256, 25_600
+# Tables, projections and bucket length, by growing work.
+LSH_SETTINGS = ((10, 4, 1.0), (20, 4, 1.0), (20, 4, 1.5), (20, 4, 2.0), (20, 3, 2.0), (20, 2, 2.0))
 
 
 def _similarity(q: np.ndarray, items: np.ndarray, metric: str) -> np.ndarray:
@@ -158,8 +163,33 @@ def exact_top_k(queries: DataFrame, items: DataFrame, k: int, metric: str = "ip"
     )
 
 
+def _neighbour_pairs(queries: DataFrame, items: DataFrame, k: int, block_rows: int, seed: int = 7) -> pd.DataFrame:
+    """Drawn queries ``q``, one row per exact neighbour, with the columns of ``items``.
+
+    A neighbour that an index lets a query see is among the best k of what it sees, so
+    the share of seen neighbours is the recall.
+    """
+    n = min(SAMPLE_QUERIES, max(16, SAMPLE_PAIRS // k))
+    drawn = materialize(queries.orderBy(seeded_key(seed, "query_id"), "query_id").limit(n).select("query_id", "vec"), "drawn")
+    best = exact_top_k(drawn, items.select("item_id", "vec"), k, block_rows=block_rows).select("query_id", "item_id")
+    return best.join(drawn.withColumnRenamed("vec", "q"), "query_id").join(items, "item_id").toPandas()
+
+
+def _filled(found: DataFrame, queries: DataFrame, items: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """Queries that were given fewer than k items, though there are more, are searched exactly."""
+    found = materialize(found, "found")
+    n = min(k, items.count())
+    full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= n).select("query_id")
+    rest = exact_top_k(queries.join(full, "query_id", "left_anti"), items.select("item_id", "vec"), k, block_rows=block_rows)
+    return found.join(full, "query_id", "left_semi").unionByName(rest)
+
+
 class InvertedLists:
-    """Items grouped by nearest k-means centre; a query visits its nearest lists."""
+    """Items grouped by nearest k-means centre; a query visits its nearest lists.
+
+    Unless ``n_probe`` is given, as many are visited as find ``TARGET_RECALL`` of the
+    exact neighbours of a bounded draw of the queries.
+    """
 
     def __init__(self, items: DataFrame, n_lists: int = 100, seed: int = 7, max_iter: int = 10):
         features = items.withColumn("features", array_to_vector("vec"))
@@ -168,12 +198,21 @@ class InvertedLists:
         # Stored once, like any index: every search reads it again.
         self.items = materialize(self.model.transform(features).select("cell", "item_id", "vec"))
 
-    def search(self, queries: DataFrame, k: int, n_probe: int = 10,
+    def probes(self, queries: DataFrame, k: int, block_rows: int = BLOCK_ROWS) -> int:
+        """The least number of lists that gives the recall asked for."""
+        pairs = _neighbour_pairs(queries, self.items, k, block_rows)
+        if pairs.empty:
+            return 1
+        order = np.argsort(-_similarity(_matrix(pairs["q"]), self.centers, "l2"), axis=1, kind="stable")
+        place = np.sort((order == pairs["cell"].to_numpy()[:, None]).argmax(axis=1))
+        return int(place[ceil(TARGET_RECALL * len(place)) - 1]) + 1
+
+    def search(self, queries: DataFrame, k: int, n_probe: int | None = None,
                block_rows: int = BLOCK_ROWS) -> DataFrame:
         if k <= 0:
             return _empty(queries, self.items)
         centers = self.centers
-        n_probe = min(n_probe, len(centers))
+        n_probe = min(self.probes(queries, k, block_rows) if n_probe is None else n_probe, len(centers))
 
         @F.pandas_udf("array<int>")
         def nearest_lists(vec: pd.Series) -> pd.Series:
@@ -181,7 +220,22 @@ class InvertedLists:
             return pd.Series(list(np.argsort(distance, axis=1, kind="stable")[:, :n_probe]))
 
         routed = queries.select(F.explode(nearest_lists("vec")).alias("cell"), "query_id", "vec")
-        return _search(routed, self.items, k, "ip", block_rows)
+        return _filled(_search(routed, self.items, k, "ip", block_rows), queries, self.items, k, block_rows)
+
+
+def _cell_keys(matrix: np.ndarray, tables: int, projections: int, bucket_length: float, seed: int) -> np.ndarray:
+    """``rows x tables`` keys of cells."""
+    rng = np.random.default_rng(seed)
+    weights = rng.normal(size=(matrix.shape[1], tables * projections))
+    shift = rng.uniform(0, bucket_length, tables * projections)
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    unit = matrix / np.where(length > 0, length, 1)
+    buckets = np.floor((unit @ weights + shift) / bucket_length).astype(np.int64).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, tables + 1, dtype=np.uint64), (len(matrix), tables)) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(projections):
+        key = (key ^ buckets[:, i::projections]) * np.uint64(0xBF58476D1CE4E5B9)
+        key ^= key >> np.uint64(31)
+    return key.view(np.int64)
 
 
 def projection_cells(df: DataFrame, tables: int, projections: int, bucket_length: float, seed: int) -> DataFrame:
@@ -193,37 +247,47 @@ def projection_cells(df: DataFrame, tables: int, projections: int, bucket_length
 
     @F.pandas_udf("array<long>")
     def cells(vec: pd.Series) -> pd.Series:
-        matrix = _matrix(vec)
-        rng = np.random.default_rng(seed)
-        weights = rng.normal(size=(matrix.shape[1], tables * projections))
-        shift = rng.uniform(0, bucket_length, tables * projections)
-        length = np.linalg.norm(matrix, axis=1, keepdims=True)
-        unit = matrix / np.where(length > 0, length, 1)
-        buckets = np.floor((unit @ weights + shift) / bucket_length).astype(np.int64).astype(np.uint64)
-        key = np.broadcast_to(np.arange(1, tables + 1, dtype=np.uint64), (len(matrix), tables)) * np.uint64(0x9E3779B97F4A7C15)
-        for i in range(projections):
-            key = (key ^ buckets[:, i::projections]) * np.uint64(0xBF58476D1CE4E5B9)
-            key ^= key >> np.uint64(31)
-        return pd.Series(list(key.view(np.int64)))
+        return pd.Series(list(_cell_keys(_matrix(vec), tables, projections, bucket_length, seed)))
 
     return df.withColumn("cell", F.explode(cells("vec")))
 
 
-def lsh_top_k(queries: DataFrame, items: DataFrame, k: int, *, bucket_length: float = 1.0, projections: int = 4,
-              tables: int = 10, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def lsh_settings(queries: DataFrame, items: DataFrame, k: int, seed: int = 7,
+                 block_rows: int = BLOCK_ROWS) -> tuple[int, int, float] | None:
+    """The first of ``LSH_SETTINGS`` that gives the recall asked for on drawn queries; None if none does."""
+    pairs = _neighbour_pairs(queries, items, k, block_rows)
+    if pairs.empty:
+        return LSH_SETTINGS[0]
+    q, i = _matrix(pairs["q"]), _matrix(pairs["vec"])
+    for settings in LSH_SETTINGS:
+        if (_cell_keys(q, *settings, seed) == _cell_keys(i, *settings, seed)).any(axis=1).mean() >= TARGET_RECALL:
+            return settings
+    return None
+
+
+def lsh_top_k(queries: DataFrame, items: DataFrame, k: int, *, bucket_length: float | None = None, projections: int | None = None,
+              tables: int | None = None, seed: int = 7, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Top-k among items that share the cell of a table with the query.
 
-    Projections of unit vectors have standard deviation one, whatever the dimension;
-    with the defaults two vectors at distance 0.5 meet with probability 0.77 and
-    about one pair in fourteen of unrelated ones does.  For unit vectors the order by
-    distance is the order by inner product.
+    Projections of unit vectors have standard deviation one, whatever the dimension.
+    With 10 tables of 4 projections and buckets of length 1, two vectors at distance 0.5
+    meet with probability 0.77, at 0.8 with 0.32, and about one pair in fourteen of
+    unrelated ones does.  Unless one of the three is given, they are chosen by measured
+    recall (``lsh_settings``); where no choice reaches it, the search is exact, as it is
+    for queries that meet fewer than k items.  For unit vectors the order by distance is
+    the order by inner product.
     """
     if k <= 0:
         return _empty(queries, items)
-    settings = (tables, projections, bucket_length, seed)
-    left = projection_cells(queries, *settings).select("cell", "query_id", "vec")
-    right = projection_cells(items, *settings).select("cell", "item_id", "vec")
-    return _search(left, right, k, "ip", block_rows, overlapping=True)
+    if tables is projections is bucket_length is None:
+        chosen = lsh_settings(queries, items, k, seed, block_rows)
+        if chosen is None:
+            return exact_top_k(queries, items, k, block_rows=block_rows)
+    else:
+        chosen = tuple(d if x is None else x for x, d in zip((tables, projections, bucket_length), LSH_SETTINGS[0]))
+    left = projection_cells(queries, *chosen, seed).select("cell", "query_id", "vec")
+    right = projection_cells(items, *chosen, seed).select("cell", "item_id", "vec")
+    return _filled(_search(left, right, k, "ip", block_rows, overlapping=True), queries, items, k, block_rows)
 
 
 def overlap(approximate: DataFrame, exact: DataFrame) -> DataFrame:
