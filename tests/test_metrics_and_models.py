@@ -166,3 +166,18 @@ def test_embeddings_beat_random_on_block_structure(spark):
     assert models.retrieval_recall(users, items, test, (10,)).first()["recall_10"] > 0.8
     sweep = models.sweep_embeddings(train, test, {"rank": [2, 0]}, ks=(10,), base={"iterations": 2}).orderBy("run_id").collect()
     assert [r["status"] for r in sweep] == ["success", "failed"] and sweep[1]["error"] and sweep[0]["recall_10"] > 0.5
+
+
+def test_als_recall_fits_full_factors(spark, monkeypatch):
+    import __spark_entry__
+
+    fitted, fit = [], models.fit_embeddings
+
+    def noted(pairs, **options):
+        found = fit(pairs, **options)
+        fitted.append((found[0].first()["vec"], options))
+        return found
+
+    monkeypatch.setattr(models, "fit_embeddings", noted)
+    assert __spark_entry__.queries()["als_recall"](spark, "/root/testdata/sf0.001").first()["rises_with_k"]
+    assert [(len(vec), options) for vec, options in fitted] == [(128, {})]
