@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("dedup_queries", "model_queries", "table_queries")
+_MODULES = ("dedup_queries", "model_queries", "table_queries", "sequence_queries")
 
 
 def all_queries() -> tuple[dict, dict[str, str]]:
