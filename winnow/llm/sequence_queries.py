@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import byte_bpe
+from winnow.llm import byte_bpe, periodic
 from winnow.llm.registry import query, table
 
 
@@ -19,3 +19,8 @@ def multilingual_ranks() -> tuple[str, str]:
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = multilingual_ranks()
     return byte_bpe.encode_documents(table(spark, sf_dir, "documents"), path, pattern)
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(spark, sf_dir, "documents"))
