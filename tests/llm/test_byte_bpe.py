@@ -82,3 +82,12 @@ def test_query_on_all_documents(spark, codecs):
     for r in got:
         assert (r.n_tokens, r.ids_sha256) == expected(reference, texts[r.doc_id])[:2]
         assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+
+
+def test_full_cache_loses_nothing(codecs, monkeypatch):
+    _, reference = codecs
+    path, pattern = multilingual_ranks()
+    monkeypatch.setattr(byte_bpe, "CACHE_LIMIT", 5)
+    codec = byte_bpe.ByteBPE(path, pattern)
+    for text in ["a b c d", "a b e f g h", "a b c d", " ".join(map(str, range(40)))]:
+        assert codec.encode(text) == reference.encode_ordinary(text)

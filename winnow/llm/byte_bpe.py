@@ -94,10 +94,11 @@ class ByteBPE:
         """Ranks of the text; pre-tokens are remembered by their own string."""
         pieces = self.split(text)
         cache = self.cache
-        todo = [p for p in dict.fromkeys(pieces) if p not in cache]
+        distinct = dict.fromkeys(pieces)
+        if len(cache) + len(distinct) > CACHE_LIMIT:
+            cache.clear()  # before choosing what to encode, so that nothing chosen as known is lost
+        todo = [p for p in distinct if p not in cache]
         if todo:
-            if len(cache) + len(todo) > CACHE_LIMIT:
-                cache.clear()
             lettered = [p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for p in todo]
             merge = [(p, s) for p, s in zip(todo, lettered) if s not in self.piece_rank]
             for p, s in zip(todo, lettered):
