@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from winnow.llm import byte_bpe, periodic
+from winnow.llm import byte_bpe, hard_negatives, periodic
 from winnow.llm.registry import query, table
 
 
@@ -24,3 +24,35 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_periodic_runs")
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+         list_sum(list_transform(range(1, greatest(len(a.q), len(c.q)) + 1),
+                                 lambda i: coalesce(a.q[i], 0) * coalesce(c.q[i], 0))) AS score
+  FROM valid a JOIN valid c ON a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+    FROM scored WHERE label = anchor_label AND vec_id <> anchor_id) WHERE r <= 5
+), negatives AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS r
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE r <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
