@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,9 @@ from winnow.llm.tokens import byte_letters
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 UNKNOWN = "⁇unk"  # no byte letter is U+2047, so no entry can take this name
-CACHE_LIMIT = 200_000  # distinct pre-tokens remembered per task
+SEPARATOR = "\udcff"  # byte 0xFF under surrogateescape; valid UTF-8 text never holds it
+SEPARATOR_LETTER = "⁇"  # not a letter of any byte
+CACHE_LIMIT = 200_000  # distinct pre-tokens remembered per task, with their ids and decoded bytes
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -82,38 +85,79 @@ class ByteBPE:
 
         ranks = read_ranks(path)
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model_proto(ranks))
-        order = sorted(ranks.values())
-        self.rank_of_piece = np.asarray(order, dtype=np.int64)
-        self.letters = _letter_table()
-        self.piece_rank = {t.decode("latin-1").translate(self.letters): r for t, r in ranks.items()}
-        self.bytes_of_rank = {r: t for t, r in ranks.items()}
+        self.unknown_id = self.processor.unk_id()
+        self.rank_of_piece = np.asarray(sorted(ranks.values()) + [-1], dtype=np.int64)
+        self.letters = _letter_table() | {0xFF: SEPARATOR_LETTER}
+        self.bytes_of_rank = [b""] * (max(ranks.values()) + 1)
+        for t, r in ranks.items():
+            self.bytes_of_rank[r] = t
+        self.byte_length = np.fromiter(map(len, self.bytes_of_rank), np.int64, len(self.bytes_of_rank))
         self.split = regex.compile(pattern).findall
-        self.cache: dict[str, list[int]] = {}
+        self.packed: dict[str, bytes] = {}
+        self.decoded: dict[str, bytes] = {}
+        # Entries that their own merges do not reach are taken whole when a pre-token equals them.
+        entries = sorted(ranks, key=ranks.get)
+        table = _letter_table()
+        lettered = [t.decode("latin-1").translate(table) for t in entries]
+        ids = np.asarray(self.processor.encode(SEPARATOR_LETTER.join(lettered)), np.int64)
+        cut = np.flatnonzero(ids == self.unknown_id)
+        alone = np.diff(np.r_[-1, cut, len(ids)]) == 2  # exactly one id between separators
+        first = self.rank_of_piece[ids[np.r_[0, cut + 1]]]
+        reached = alone & (first == np.asarray([ranks[t] for t in entries]))
+        self.unreachable = {s: ranks[t] for t, s, ok in zip(entries, lettered, reached.tolist()) if not ok}
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of pre-tokens not seen yet, packed, and the bytes that decoding those ids gives.
+
+        The new pre-tokens go to the model in one string, joined by byte 0xFF, which UTF-8
+        never holds; it is written as a letter that no piece has, so no merge crosses it and
+        it comes back as the unknown id, which marks where each pre-token's ids end.
+        """
+        distinct = set(pieces)
+        packed = self.packed
+        if len(packed) + len(distinct) > CACHE_LIMIT:
+            packed.clear()  # before choosing what to encode, so that nothing chosen as known is lost
+            self.decoded.clear()
+        todo = [p for p in distinct if p not in packed]
+        if not todo:
+            return
+        joined = SEPARATOR.join(todo).encode("utf-8", "surrogateescape").decode("latin-1").translate(self.letters)
+        ids = np.asarray(self.processor.encode(joined), np.int64)
+        cut = ids == self.unknown_id
+        if int(cut.sum()) != len(todo) - 1:
+            raise ValueError("a pre-token holds a character outside the byte letters")
+        counts = np.diff(np.r_[-1, np.flatnonzero(cut), len(ids)]) - 1
+        ranks = self.rank_of_piece[ids[~cut]]
+        token_at = np.r_[0, np.cumsum(counts)]
+        byte_at = np.r_[0, np.cumsum(self.byte_length[ranks])][token_at]
+        every_id = ranks.astype("<u4").tobytes()
+        every_byte = self.decode(ranks.tolist())
+        for p, t0, t1, b0, b1 in zip(todo, token_at[:-1].tolist(), token_at[1:].tolist(), byte_at[:-1].tolist(), byte_at[1:].tolist()):
+            packed[p] = every_id[4 * t0:4 * t1]
+            self.decoded[p] = every_byte[b0:b1]
+        if self.unreachable:
+            for p in todo:
+                rank = self.unreachable.get(p.encode("utf-8").decode("latin-1").translate(self.letters))
+                if rank is not None:
+                    packed[p], self.decoded[p] = struct.pack("<I", rank), self.bytes_of_rank[rank]
+
+    def encode_packed(self, text: str) -> tuple[bytes, bytes]:
+        """Ids of the text as little-endian unsigned 32-bit integers, and the bytes decoded from them.
+
+        Decoding maps ids to bytes piece by piece, so the decoded text is the concatenation of
+        what the ids of each pre-token decode to; that is computed once per distinct pre-token.
+        """
+        pieces = self.split(text)
+        self._learn(pieces)
+        return b"".join(map(self.packed.__getitem__, pieces)), b"".join(map(self.decoded.__getitem__, pieces))
 
     def encode(self, text: str) -> list[int]:
-        """Ranks of the text; pre-tokens are remembered by their own string."""
-        pieces = self.split(text)
-        cache = self.cache
-        distinct = dict.fromkeys(pieces)
-        if len(cache) + len(distinct) > CACHE_LIMIT:
-            cache.clear()  # before choosing what to encode, so that nothing chosen as known is lost
-        todo = [p for p in distinct if p not in cache]
-        if todo:
-            lettered = [p.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters) for p in todo]
-            merge = [(p, s) for p, s in zip(todo, lettered) if s not in self.piece_rank]
-            for p, s in zip(todo, lettered):
-                if s in self.piece_rank:
-                    cache[p] = [self.piece_rank[s]]
-            if merge:
-                for (p, _), ids in zip(merge, self.processor.encode([s for _, s in merge])):
-                    cache[p] = self.rank_of_piece[ids].tolist()
-        out: list[int] = []
-        for p in pieces:
-            out += cache[p]
-        return out
+        """Ranks of the text."""
+        packed, _ = self.encode_packed(text)
+        return np.frombuffer(packed, "<u4").tolist()
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(self.bytes_of_rank[i] for i in ids)
+        return b"".join(map(self.bytes_of_rank.__getitem__, ids))
 
 
 def _codec_rows(path: str, pattern: str):
@@ -124,10 +168,9 @@ def _codec_rows(path: str, pattern: str):
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = codec.encode(text or "")
-                packed = np.asarray(ids, dtype="<u4").tobytes()
-                rows.append((doc_id, len(ids), hashlib.sha256(packed).hexdigest(),
-                             hashlib.sha256(codec.decode(ids)).hexdigest()))
+                packed, decoded = codec.encode_packed(text or "")
+                rows.append((doc_id, len(packed) // 4, hashlib.sha256(packed).hexdigest(),
+                             hashlib.sha256(decoded).hexdigest()))
             columns = list(zip(*rows)) or [[]] * 4
             types = [pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
