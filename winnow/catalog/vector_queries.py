@@ -10,7 +10,7 @@ from winnow.catalog.metric_queries import RETRIEVED
 from winnow.catalog.registry import joined_text, query
 from winnow.functions.hashing import seeded_int, seeded_key
 from winnow.functions.vectors import l2_normalize
-from winnow.operators import features, nearest, ranking
+from winnow.operators import features, graph_search, nearest, ranking
 from winnow.operators.losses import pair_scores
 from winnow.plans.recommend import merge_rankings, recommend, recommend_requests, retrieve
 
@@ -254,6 +254,22 @@ def _(spark, sf):
     return _checked(nearest.lsh_top_k(wanted, catalogue, K), wanted, catalogue)
 
 
+@query("graph_topk", CHECKED_SQL)
+def _(spark, sf):
+    wanted, catalogue = _queries(spark, sf), _items(spark, sf)
+    return _checked(graph_search.graph_top_k(wanted, catalogue, K), wanted, catalogue)
+
+
+# Whatever the plan chooses, graph or exact search, finds 0.9 of the exact neighbours of all queries.
+@query("graph_recall", f"""select 'graph' as method, (select count(*) from embeddings) * {K} as n_exact, true as above_bound""")
+def _(spark, sf):
+    wanted, catalogue = _queries(spark, sf), _items(spark, sf)
+    exact = materialize(nearest.exact_top_k(wanted, catalogue, K), "exact")
+    found = graph_search.graph_top_k(wanted, catalogue, K)
+    return nearest.overlap(found, exact).select(
+        F.lit("graph").alias("method"), "n_exact", (F.col("overlap") >= graph_search.TARGET_RECALL).alias("above_bound"))
+
+
 # Hashing with measured settings finds 0.9 of the exact neighbours, and visiting all lists
 # finds all.  One and ten lists are fixed points of the curve below the settings used for
 # search; they find at least their share.
