@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from winnow.operators import order_stats, ranks, splits
+from winnow.operators import drift, order_stats, ranks, splits
 
 
 def labels(df, keys):
@@ -145,3 +145,54 @@ def test_counted_percentiles(spark):
     df = spark.createDataFrame([(v,) for v in values], "n int")
     got = order_stats.counted_percentiles(df, "n", [0.25, 0.5, 0.9]).first()[0]
     assert got == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.9])))
+
+
+def _two_scans(df, probs, **kw):
+    accuracy = kw.get("accuracy", order_stats.SKETCH_ACCURACY)
+    sketched = df.groupBy("feature").agg(*order_stats.bracket_aggregates("value", probs, accuracy))
+    return {r[0]: r[1] for r in order_stats.bracketed_quantiles(df, "feature", "value", probs, sketched, **kw).collect()}
+
+
+@pytest.mark.parametrize("accuracy,fetch", [(100_000, 20_000), (50, 20_000), (10, 3), (200, 1)])
+def test_bracketed_quantiles_equal_numpy(spark, accuracy, fetch):
+    """Default brackets, loose sketches, and brackets too large to gather (found by narrowing)."""
+    rng = np.random.default_rng(5)
+    groups = {
+        "normal": rng.normal(size=700), "heavy": np.exp(rng.normal(size=500) * 4), "constant": np.full(40, 2.5),
+        "hot": np.concatenate([np.full(300, 1.0), rng.uniform(size=200)]), "single": np.array([7.0]),
+        "wide": np.array([-1e308, 0.0, 1e308]),
+    }
+    rows = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("normal", None), ("normal", float("nan")), ("empty", None)]
+    df = spark.createDataFrame(rows, "feature string, value double").repartition(6)
+    got = _two_scans(df, PROBS, accuracy=accuracy, fetch=fetch)
+    assert set(got) == set(groups)
+    for name, values in groups.items():
+        if name == "wide":
+            assert got[name][0] == -1e308 and got[name][3] == 0 and got[name][-1] == 1e308
+            continue
+        assert got[name] == pytest.approx(list(np.quantile(values, PROBS)), rel=1e-12)
+
+
+def test_bracketed_quantiles_of_infinities_denormals_and_ties(spark):
+    inf, tiny = float("inf"), 5e-324
+    groups = {
+        "infinite": [-inf, 1.0, 2.0, 3.0, inf, inf, -0.0, 0.0], "denormal": [i * tiny for i in range(-40, 60)],
+        "ties": [3.5] * 900 + [i / 7 for i in range(100)], "signs": [(-2.0) ** i for i in range(200)],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs], "feature string, value double").repartition(4)
+    want = {r[0]: r[1] for r in df.groupBy("feature").agg(F.percentile("value", F.lit(PROBS))).collect()}
+    for accuracy, fetch in [(100_000, 20_000), (10, 3)]:
+        got = _two_scans(df, PROBS, accuracy=accuracy, fetch=fetch)
+        for name in groups:
+            assert got[name] == pytest.approx(want[name], rel=1e-12, abs=0), (name, accuracy)
+
+
+def test_baseline_takes_two_scans_of_the_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"f{i % 3}", float(v)) for i, v in enumerate(rng.normal(size=3000))]
+    df = spark.createDataFrame(rows, "feature string, value double")
+    got = {r["feature"]: r for r in drift.feature_baseline(df).collect()}
+    for name in ("f0", "f1", "f2"):
+        values = [v for f, v in rows if f == name]
+        assert [got[name][c] for c in ("p05", "p25", "p50", "p75", "p95")] == pytest.approx(
+            list(np.quantile(values, [0.05, 0.25, 0.5, 0.75, 0.95])), rel=1e-12)

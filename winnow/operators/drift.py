@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from winnow.functions import drift as d
 from winnow.functions.binning import histogram_bin
-from winnow.operators.order_stats import quantiles
+from winnow.operators.order_stats import bracket_aggregates, bracketed_quantiles
+from winnow.runtime import materialize
 
 # Fixed values
 PERCENTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
@@ -36,13 +37,16 @@ def _usable(long: DataFrame) -> DataFrame:
 def feature_baseline(long: DataFrame) -> DataFrame:
     """Moments, range and percentiles per feature; features without values are absent."""
     std = F.stddev_samp("value")
-    moments = _usable(long).groupBy("feature").agg(
+    # One scan for moments and quantile brackets, one for the exact values inside the brackets.
+    first = materialize(_usable(long).groupBy("feature").agg(
         F.avg("value").alias("mean"),
         F.coalesce(F.nullif(std, F.lit(0.0)), F.lit(d.FLOOR)).alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.count("value").alias("n_samples"),
-    )
-    spread = quantiles(long, "feature", "value", PERCENTILES)
+        *bracket_aggregates("value", PERCENTILES),
+    ), "baseline_moments")  # one row per feature
+    moments = first.drop("__n", "__bounds")
+    spread = bracketed_quantiles(long, "feature", "value", PERCENTILES, first)
     names = [f"p{round(p * 100):02d}" for p in PERCENTILES]
     return moments.join(spread, "feature").select(
         *moments.columns, *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(names)]
@@ -51,7 +55,9 @@ def feature_baseline(long: DataFrame) -> DataFrame:
 
 def histogram_edges(long: DataFrame, bins: int = BINS) -> DataFrame:
     """Distinct quantile edges per feature; a constant feature gets one narrow bin."""
-    cuts = quantiles(long, "feature", "value", [i / bins for i in range(bins + 1)])
+    probs = [i / bins for i in range(bins + 1)]
+    sketched = materialize(_usable(long).groupBy("feature").agg(*bracket_aggregates("value", probs)), "edge_brackets")
+    cuts = bracketed_quantiles(long, "feature", "value", probs, sketched)
     edges = F.array_distinct("quantiles")
     only = F.get(edges, F.lit(0))
     return cuts.select(

@@ -248,3 +248,76 @@ def counted_percentiles(df: DataFrame, value: str, probs: Sequence[float],
         .groupBy(*keys)
         .agg(F.percentile(value, F.lit(list(probs)), F.col("__n")).alias("quantiles"))
     )
+
+
+SKETCH_ACCURACY = 100_000  # Spark's sketch: rank error at most n / accuracy
+
+
+def bracket_aggregates(value: str, probs: Sequence[float], accuracy: int = SKETCH_ACCURACY) -> list[Column]:
+    """Aggregates of the first scan: usable values and sketch brackets ``probs +- 3 / accuracy``.
+
+    Add them to a ``groupBy`` that computes other statistics, so both share one scan.
+    """
+    delta = 3.0 / accuracy
+    edges = [max(0.0, p - delta) for p in probs] + [min(1.0, p + delta) for p in probs]
+    v = F.when(~F.isnan(value), F.col(value).cast("double") + F.lit(0.0))
+    return [F.count(v).alias("__n"), F.percentile_approx(v, F.array(*map(F.lit, edges)), accuracy).alias("__bounds")]
+
+
+def bracketed_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], sketched: DataFrame, *,
+                        accuracy: int = SKETCH_ACCURACY, fetch: int = FETCH_ROWS) -> DataFrame:
+    """Exact linear-interpolated quantiles per group in one more scan, from the first scan's brackets.
+
+    ``sketched`` holds ``group`` and the columns of ``bracket_aggregates`` (one row per group).
+    The second scan counts, per bracket, the values below it, at its ends and inside it,
+    and gathers the values strictly inside where the sketch's rank bound keeps them below
+    ``fetch`` (at most ``8 n / accuracy + 2``).  Each wanted position is checked against
+    those counts; a group whose bracket misses a position, or is too large to gather, is
+    found by the narrowing of ``quantiles`` instead.  Null and NaN are left out; -0.0 is 0.0.
+    Returns ``(group, quantiles)`` like ``quantiles``.
+    """
+    spark, kind = df.sparkSession, df.schema[group].dataType.simpleString()
+    k = len(probs)
+    rows = {r[group]: r for r in sketched.select(group, "__n", "__bounds").collect()}  # one row per group
+    bounds = [(g, r["__bounds"][:k], r["__bounds"][k:], 8 * r["__n"] / accuracy + 2 <= fetch)
+              for g, r in rows.items() if r["__n"]]
+    if not bounds:
+        return spark.createDataFrame([], f"{group} {kind}, quantiles array<double>")
+    table = spark.createDataFrame(bounds, f"b_g {kind}, lo array<double>, hi array<double>, gather boolean")
+    v = F.col("v")
+    usable = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(
+        F.col(group).alias("g"), (F.col(value).cast("double") + F.lit(0.0)).alias("v"))
+    joined = usable.join(F.broadcast(table), F.col("g").eqNullSafe(F.col("b_g")))  # one bracket row per group
+    aggs = []
+    for i in range(k):
+        lo, hi = F.get("lo", F.lit(i)), F.get("hi", F.lit(i))
+        inside = (v > lo) & (v < hi)
+        aggs += [
+            F.count(F.when(v < lo, 1)).alias(f"below{i}"), F.count(F.when(v == lo, 1)).alias(f"at_lo{i}"),
+            F.count(F.when((v == hi) & (hi > lo), 1)).alias(f"at_hi{i}"), F.count(F.when(inside, 1)).alias(f"n_in{i}"),
+            F.collect_list(F.when(inside & F.col("gather"), v)).alias(f"in{i}"),
+        ]
+    counted = {r["g"]: r for r in joined.groupBy("g").agg(*aggs).collect()}  # one row per group
+    out, missed = [], []
+    for g, lo, hi, _ in bounds:
+        r, n, qs = counted[g], rows[g]["__n"], []
+        for i, p in enumerate(probs):
+            inside = sorted(r[f"in{i}"])
+            if len(inside) != r[f"n_in{i}"]:
+                break
+            ordered = [lo[i]] * r[f"at_lo{i}"] + inside + [hi[i]] * r[f"at_hi{i}"]
+            h = (n - 1) * p
+            at = [floor(h) - r[f"below{i}"], ceil(h) - r[f"below{i}"]]
+            if not all(0 <= a < len(ordered) for a in at):
+                break
+            low, high = ordered[at[0]], ordered[at[1]]
+            qs.append(low if low == high else (ceil(h) - h) * low + (h - floor(h)) * high)
+        else:
+            out.append((g, qs))
+            continue
+        missed.append(g)
+    found = spark.createDataFrame(out, f"{group} {kind}, quantiles array<double>")
+    if missed:
+        rest = df.where(F.col(group).isin(missed) if None not in missed else F.col(group).isin(missed) | F.col(group).isNull())
+        found = found.unionByName(quantiles(rest, group, value, probs))
+    return found
