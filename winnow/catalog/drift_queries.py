@@ -120,13 +120,15 @@ def _steps(value: str, low: float, high: float) -> str:
     return f"case when {value} >= {high} then 2 when {value} >= {low} then 1 else 0 end"
 
 
-def report_ctes(online: str, keys: str = "", psi: str | None = None) -> str:
-    """CTE ``report`` from CTEs ``base`` (feature, mean, std) and ``online``."""
+def report_ctes(online: str, keys: str = "", psi: str | None = None, psi_by_keys: bool = False) -> str:
+    """CTE ``report`` from CTEs ``base`` (feature, mean, std) and ``online``; PSI per feature or, if
+    ``psi_by_keys``, per ``keys`` and feature."""
     k = f"{keys}, " if keys else ""
+    psi_using = f"{k}feature" if psi_by_keys else "feature"
     levels = [_steps("z_score", 2, 3), _steps("kl", 0.3, 0.5)] + ([_steps("psi", 0.1, 0.2)] if psi else [])
     return f"""j as (select {k}o.feature, b.mean as baseline_mean, b.std as baseline_std, o.count as online_count,
   o.mean as online_mean, o.std as online_std{', p.psi' if psi else ''} from {online} o join base b using (feature)
-  {f'left join {psi} p using (feature)' if psi else ''}),
+  {f'left join {psi} p using ({psi_using})' if psi else ''}),
 d as (select *, abs(online_mean - baseline_mean) / baseline_std as z_score, {KL_ONLINE} as kl,
   ({KL_ONLINE} + {KL_BACK}) / 2 as symmetric_kl, online_mean - baseline_mean as mean_diff,
   online_std / baseline_std as std_ratio from j),
@@ -223,6 +225,39 @@ def _(spark, sf):
     return _windowed_report(spark, sf)
 
 
+def windowed_psi_sql(rows: str) -> str:
+    """CTEs ``online`` (moments per day and feature of ``rows``) and ``wpsi`` (PSI per day and feature
+    against the baseline's bins); needs ``bins`` and ``bh`` of the baseline."""
+    return f"""ow as (select date_trunc('day', ts) as window_start, feature, value from {rows} where feature in (select feature from bins)),
+online as ({moments_sql('ow', 'window_start, feature')}),
+own as (select window_start, feature, bin, count(*) as n from ow join bins using (feature)
+  where (value >= lower or bin = 0) and (value < upper or last) group by all),
+frame as (select o.window_start, b.feature, b.bin, b.share as base_share from online o join bh b using (feature)),
+wshares as (select f.window_start, f.feature, f.base_share,
+  coalesce(w.n, 0) / sum(coalesce(w.n, 0)) over (partition by f.window_start, f.feature) as share
+  from frame f left join own w using (window_start, feature, bin)),
+wpsi as (select window_start, feature, sum((os - bs) * ln(os / bs)) as psi from (select window_start, feature,
+  case when base_share <= 0 then 1e-10 else base_share end as bs, case when share <= 0 then 1e-10 else share end as os
+  from wshares) group by all)"""
+
+
+WINDOWED_PSI = f"""{BASE}, {edges_sql('base_rows')}, {histogram_sql('base_rows', 'bh')}, {windowed_psi_sql('online_rows')},
+{report_ctes('online', 'window_start', psi='wpsi', psi_by_keys=True)}"""
+
+
+def _windowed_psi_report(spark, sf):
+    base, online = _sides(spark, sf)
+    edges = materialize(drift.histogram_edges(base), "edges")
+    state = drift_stream.windowed_state(online, edges, "1 day")
+    return drift_stream.windowed_psi_drift(state, drift.feature_baseline(base), drift.histogram(base, edges))
+
+
+# Days of the online part against the baseline: z-score, KL and PSI over the baseline's bins.
+@query("windowed_psi_drift", f"with {WINDOWED_PSI} select window_start, {REPORT_COLUMNS}, {R('psi')} as psi from report")
+def _(spark, sf):
+    return _windowed_psi_report(spark, sf)
+
+
 WINDOW_STATUS = f"""{WINDOWED}, s as (select window_start, count(*) as num_features,
   count(*) filter (severity = 'alert') as num_alert, count(*) filter (severity = 'warning') as num_warning,
   case when count(*) filter (severity = 'alert') > 0 then 'alert' when count(*) filter (severity = 'warning') > 0 then 'warning'
@@ -291,3 +326,18 @@ def _(spark, sf):
         lambda batch: drift_stream.windowed_drift(batch, baseline),
     )
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+# The same report from a stream: a day's moments and bin counts are the stream's state, every
+# micro-batch reports the days it changed, and the sink keeps each day's newest row.
+@query("stream_psi_drift", f"""with {BASE}, {edges_sql('base_rows')}, {histogram_sql('base_rows', 'bh')}, {windowed_psi_sql('feature_log')},
+{report_ctes('online', 'window_start', psi='wpsi', psi_by_keys=True)} select window_start, {REPORT_COLUMNS}, {R('psi')} as psi from report""")
+def _(spark, sf):
+    base = _sides(spark, sf)[0]
+    edges = materialize(drift.histogram_edges(base), "edges")
+    baseline, base_hist = materialize(drift.feature_baseline(base)), materialize(drift.histogram(base, edges))
+    out = _drain(
+        spark, sf, lambda log: drift_stream.windowed_state(log, edges, "1 day"), ["window_start", "feature"], "update",
+        lambda batch: drift_stream.windowed_psi_drift(batch, baseline, base_hist),
+    )
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

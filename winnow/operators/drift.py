@@ -92,10 +92,11 @@ def histogram(long: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def moments(long: DataFrame, keys: Sequence[str] = ("feature",),
-            monitored: DataFrame | None = None) -> DataFrame:
+            monitored: DataFrame | None = None, extra: Sequence = ()) -> DataFrame:
     """Mergeable state per key: count, mean, m2, min, max and population deviation.
 
-    ``monitored`` (one row per feature) drops features nobody watches.
+    ``monitored`` (one row per feature) drops features nobody watches; ``extra``
+    aggregates (bin counts, for example) are computed in the same pass.
     """
     rows = _usable(long)
     if monitored is not None:
@@ -104,7 +105,7 @@ def moments(long: DataFrame, keys: Sequence[str] = ("feature",),
         F.count("value").alias("count"), F.avg("value").alias("mean"),
         (F.var_pop("value") * F.count("value")).alias("m2"),
         F.min("value").alias("min"), F.max("value").alias("max"),
-        F.stddev_pop("value").alias("std"),
+        F.stddev_pop("value").alias("std"), *extra,
     )
 
 
@@ -168,7 +169,10 @@ def drift_report(baseline: DataFrame, online: DataFrame, psi: DataFrame | None =
     )
     joined = now.join(F.broadcast(base), "feature")
     if psi is not None:
-        joined = joined.join(F.broadcast(psi.select("feature", "psi")), "feature", "left")
+        by = [k for k in keys if k in psi.columns]
+        # One row per feature is broadcast; PSI per window grows with time and is joined as it is.
+        side = psi.select(*by, "feature", "psi")
+        joined = joined.join(side if by else F.broadcast(side), [*by, "feature"], "left")
     bm, bs, om, os_ = (F.col(c) for c in ("baseline_mean", "baseline_std", "online_mean", "online_std"))
     kl = d.gaussian_kl(om, os_, bm, bs)
     z = d.mean_shift_z(bm, bs, om)

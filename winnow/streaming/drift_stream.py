@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from winnow.operators.drift import drift_report, drift_summary, moments
+from winnow.functions import drift as d
+from winnow.functions.binning import histogram_bin
+from winnow.operators.drift import BINS, drift_report, drift_summary, moments
 from winnow.operators.ranks import top_k
 
 LOG = T.StructType([
@@ -46,6 +48,49 @@ def windowed_stats(log: DataFrame, width: str = "1 hour", watermark: str | None
     return stats.withColumn("window_start", F.col("w.start")).drop("w") if log.isStreaming else stats
 
 
+def windowed_state(log: DataFrame, edges: DataFrame, width: str = "1 hour", watermark: str | None = "1 hour",
+                   ts: str = "ts") -> DataFrame:
+    """Moments and counts over the baseline's bins per feature and tumbling window; streams and tables.
+
+    ``edges`` is the stored baseline's ``histogram_edges`` (one row per feature, at most
+    ``BINS + 1`` edges), static and small, so it is broadcast.  A window's histogram is a
+    fixed set of counts ``bin0 ..``, kept in the stream's state beside the moments and
+    merged like them; every updated row carries the whole histogram of its window.
+    Features without edges are left out; values outside the edges count into the end bins.
+    """
+    if log.isStreaming and watermark:
+        log = log.withWatermark(ts, watermark)
+    binned = log.where(F.col("value").isNotNull() & ~F.isnan("value")).join(
+        F.broadcast(edges.select("feature", "edges")), "feature")
+    binned = binned.withColumn("__bin", histogram_bin(F.col("value"), F.col("edges")))
+    counts = [F.count(F.when(F.col("__bin") == i, 1)).alias(f"bin{i}") for i in range(BINS)]
+    windowed = binned.withColumn("w", F.window(ts, width)).withColumn("window_start", F.col("w.start"))
+    keys = ["w", "feature"] if log.isStreaming else ["window_start", "feature"]
+    state = moments(windowed, keys, extra=counts)
+    return state.withColumn("window_start", F.col("w.start")).drop("w") if log.isStreaming else state
+
+
+def windowed_psi(state: DataFrame, base_histogram: DataFrame) -> DataFrame:
+    """PSI per window and feature from a window's bin counts and the baseline's bin shares.
+
+    ``base_histogram`` is ``drift.histogram`` of the baseline over the same edges; it has a
+    row per feature and bin and is broadcast.  Empty bins count as ``FLOOR`` on either side.
+    """
+    base = base_histogram.groupBy("feature").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("bin", "share"))), lambda x: x["share"]).alias("__base"))
+    counts = F.slice(F.array(*[F.col(f"bin{i}") for i in range(BINS)]), 1, F.size("__base"))
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda t, x: t + x)
+    shares = F.transform(counts, lambda c: F.try_divide(c.cast("double"), total))
+    terms = F.zip_with("__base", shares, lambda b, o: d.psi_term(b, F.coalesce(o, F.lit(0.0))))
+    return state.join(F.broadcast(base), "feature").select(
+        "window_start", "feature", F.aggregate(terms, F.lit(0.0), lambda t, x: t + x).alias("psi"))
+
+
+def windowed_psi_drift(state: DataFrame, baseline: DataFrame, base_histogram: DataFrame) -> DataFrame:
+    """Drift report per window with PSI beside z-score and KL, from one windowed state."""
+    return drift_report(baseline, state, windowed_psi(state, base_histogram), keys=["window_start"])
+
+
 def windowed_drift(stats: DataFrame, baseline: DataFrame) -> DataFrame:
     """Drift report per window: windowed moments against the stored baseline."""
     return drift_report(baseline, stats, keys=["window_start"])
