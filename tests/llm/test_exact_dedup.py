@@ -79,3 +79,13 @@ def test_index_takes_inserts_and_deletes(documents):
     changed = exact_dedup.change_index(index, keys(documents([(4, "a"), (5, "c")])), keys(documents([(2, "a"), (3, "b")])), 2)
     got = {(r.keep_id, r.group_size) for r in changed.collect()}
     assert got == {(1, 2), (5, 1)}
+
+
+def test_null_ids_beside_equal_texts(documents):
+    """A null id sorts after every id; it stays only when it alone has the most code points."""
+    rows = [(None, ""), (5, None), (None, "a b"), (7, "ab"), (None, "long  text"), (9, "longtext")]
+    got = sorted(((r.doc_id is None, r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(documents(rows)).collect()),
+                 key=repr)
+    # "" and null tie at 0 code points: 5 stays; "a b" and "long  text" have more code points than their copies.
+    assert got == sorted([(True, None, 5, 2, None), (False, 5, 5, 2, True), (True, None, None, 2, None), (False, 7, None, 2, False),
+                          (True, None, None, 2, None), (False, 9, None, 2, False)], key=repr)

@@ -11,7 +11,9 @@ Rows are combined within each batch before the shuffle, so a text that a third o
 rows share reaches its shard as one row per batch.
 
 Defined cases: null counts as the empty text, all empty texts are equal; of equal texts
-the one with most code points stays, then the smallest doc_id; rows that repeat a
+the one with most code points stays, then the smallest doc_id, a null doc_id after every
+other (it stays only alone at the most code points; its group's ``keep_id`` is null then); ``kept``
+is null for a row with a null doc_id; rows that repeat a
 doc_id and its text share their decision; an empty table gives an empty result; only
 ``doc_id`` and ``text`` are read, so other columns may have any name.
 """
@@ -27,6 +29,11 @@ from pyspark.sql import functions as F
 from winnow.runtime import materialize
 
 WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def _order(chars: int, doc_id: int | None) -> tuple:
+    """Which of equal texts stays: most code points, then the smallest id, a null id last."""
+    return (-chars, doc_id is None, doc_id or 0)
 SHARD_ROWS = 250_000
 
 KEYS = "doc_id long, digest binary, check long, bytes int, chars int"
@@ -103,7 +110,7 @@ class Shard:
         if h in self.filter:
             entry = self.keys.get(content)  # a hit may be false: the stored key decides
             if entry is not None:
-                if (-chars, doc_id) < (-entry[0], entry[1]):
+                if _order(chars, doc_id) < _order(entry[0], entry[1]):
                     entry[0], entry[1] = chars, doc_id
                 entry[2] += documents
                 return
@@ -153,7 +160,7 @@ def _combine(batches: Iterator) -> Iterator:
             if entry is None:
                 best[content] = [chars, doc_id, 1, shard]
                 continue
-            if (-chars, doc_id) < (-entry[0], entry[1]):
+            if _order(chars, doc_id) < _order(entry[0], entry[1]):
                 entry[0], entry[1] = chars, doc_id
             entry[2] += 1
         rows = [(e[3], *k, *e[:3]) for k, e in best.items()]
@@ -239,7 +246,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     groups = materialize(build_index(keys, shards).where("group_size > 1")
                          .select("digest", "keep_id", "group_size"), "groups")
     joined = keys.select("doc_id", "digest").join(groups, "digest", "left")
-    keep = F.coalesce("keep_id", "doc_id")
+    # A row without copies keeps itself; a group's keeper may be a row with a null id.
+    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        (keep.eqNullSafe(F.col("doc_id"))).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+        F.when(F.col("doc_id").isNotNull(), keep.eqNullSafe(F.col("doc_id"))).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"))
