@@ -10,7 +10,7 @@ from winnow.catalog.feature_queries import NUMERIC
 from winnow.catalog.registry import ORACLES, query
 from winnow.operators import drift
 from winnow.sources import files
-from winnow.streaming import drift_stream
+from winnow.streaming import drift_stream, snapshots
 
 FEATURES = f"""{stats_ctes()}, {features_sql()},
 t as (select * from features where split = 'train'),
@@ -341,3 +341,32 @@ def _(spark, sf):
         lambda batch: drift_stream.windowed_psi_drift(batch, baseline, base_hist),
     )
     return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _drain_versioned(spark, sf, build, mode):
+    """Runs a stream over the event file into a versioned sink, compacted every 10 batches."""
+    events = table(spark, sf, "events").schema
+    log = (
+        spark.readStream.schema(events).option("pathGlobFilter", "events.parquet").parquet(sf)
+        .select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("feature"), "value")
+    )
+    path, checkpoint = staging_path(spark, "versioned"), staging_path(spark, "versioned-state")
+    keys = ["window_start", "feature"]
+    snapshots.VersionedSink(path, keys, compact_every=10).start(build(log), checkpoint, mode).awaitTermination()
+    out = snapshots.read(spark, path, keys)
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+# Hourly moments of a stream kept as versioned snapshots; the newest state of every window.
+@query("stream_versioned_stats", HOURLY_SQL)
+def _(spark, sf):
+    return _shown(_drain_versioned(spark, sf, drift_stream.windowed_stats, "update"))
+
+
+# Append mode: a window is written once, when the watermark (one hour after the newest event) has passed its end.
+@query("stream_closed_windows", f"""with {FEATURE_LOG_SQL}, o as ({HOURLY}),
+latest as (select max(ts) as t from feature_log)
+select window_start, feature, count, {MOMENTS} from o, latest where window_start + interval 2 hour <= latest.t""")
+def _(spark, sf):
+    return _shown(_drain_versioned(spark, sf, drift_stream.windowed_stats, "append"))
+
