@@ -8,6 +8,7 @@ from winnow.catalog.bindings import *  # noqa: F403
 from winnow.catalog.bindings import R
 from winnow.catalog.registry import query
 from winnow.operators import features as f
+from winnow.operators import kv_store
 from winnow.operators import lookup_tables as kv
 
 STATS = f"{stats_ctes(*EARLY)}, {ITEMS_SQL}, {USERS_SQL}, {MULTIHOT_SQL}, {DEMOGRAPHICS_SQL}"
@@ -172,3 +173,32 @@ def _(spark, sf):
     kind = F.col("event_type")
     source = F.when(kind.isin("click", "view"), "primary").when(kind == "purchase", "fallback").otherwise("error")
     return kv.lookup_log_stats(table(spark, sf, "events").select(source.alias("source"), F.col("value").alias("latency_ms")))
+
+
+def _stats_kv(spark, sf, ratios):
+    rows = f.entity_stats(part_of(split(spark, sf, ratios), "train"), "user_id", "user")
+    return kv.to_key_value(rows, "user", "user_id", "stats", f.stat_columns("user"))
+
+
+# The early statistics published into a bucketed store, the later ones upserted into it by copy-on-write.
+@query("kv_store_upsert", f"""with {UPSERT}
+select coalesce(new.key, old.key) as key, coalesce(new.field, old.field) as field,
+  {R('case when new.key is not null then new.value else old.value end')} as value
+from old full join new on old.key = new.key and old.field = new.field""")
+def _(spark, sf):
+    store = kv_store.BucketedStore(spark, staging_path(spark, "kv-store"))
+    store.publish(_stats_kv(spark, sf, EARLY))
+    store.upsert(_stats_kv(spark, sf, (0.8, 0.1)))
+    return store.read()
+
+
+# Every customer's statistics looked up in the store, reading only the buckets of the requested keys.
+@query("kv_store_lookup", f"""with {STATS}, {USER_KV}
+select key, field, {R('value')} as value from user_kv
+where key in (select 'features:user:' || c_custkey || ':stats' from customer)""")
+def _(spark, sf):
+    store = kv_store.BucketedStore(spark, staging_path(spark, "kv-store"))
+    store.publish(_user_kv(_parts(spark, sf)))
+    requests = table(spark, sf, "customer").select(F.format_string("features:user:%s:stats", F.col("c_custkey").cast("string")).alias("key"))
+    return store.lookup(requests)
+
