@@ -121,3 +121,15 @@ def test_local_union_find():
     assert (roots <= nodes).all()
     at = dict(zip(nodes.tolist(), roots.tolist()))
     assert all(at[a] == at[b] for a, b in zip(u.tolist(), v.tolist()))
+
+
+def test_a_clean_text_with_a_repeated_id_stays(documents):
+    """Ids 1, 2 hold equal texts; a second row 2 holds a different, unique text: it stays."""
+    rows = [(1, "the same five words here now"), (2, "the same five words here now"),
+            (2, "entirely different words that match nothing else at all"), (None, "a b c d e"), (3, None)]
+    kept = sorted((r.doc_id is None, r.doc_id, r.text) for r in simhash.keep_one(documents(rows, extra=True)).collect())
+    assert kept == sorted([(False, 1, "the same five words here now"),
+                           (False, 2, "entirely different words that match nothing else at all"),
+                           (True, None, "a b c d e"), (False, 3, None)])
+    again = sorted((r.doc_id is None, r.doc_id, r.text) for r in simhash.keep_one(documents(rows, extra=True, parts=5)).collect())
+    assert again == kept

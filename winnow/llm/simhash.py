@@ -188,16 +188,43 @@ def near_groups(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id; columns as in ``docs``.
+    """One row of each component; columns as in ``docs``.
 
-    A doc_id names a document: of rows that share it one stays.  Rows without one stay.
+    Rows are told apart by ``doc_id`` and a hash of their text, so a row whose text has
+    no near copy stays even if another row with the same doc_id is a near copy of
+    something.  A component keeps a row whose doc_id is the component's id, the one with
+    the smallest fingerprint, then text hash; of identical rows (same doc_id and text)
+    the smallest by its other columns stays, so reruns agree.  Rows without a doc_id stay.
     """
-    groups = near_groups(docs, words, distance)
-    gone = materialize(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    twice = materialize(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 and doc_id is not null")
-                        .select("doc_id"), "twice")
-    left = docs.join(gone, "doc_id", "left_anti")
-    # Usually no doc_id repeats; adaptive execution then drops the second part.
-    once = left.join(twice, "doc_id", "left_anti")
-    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    keyed = docs.withColumn("__text_key", text_key)
+    rows = materialize(keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "__text_key")
+                       .mapInArrow(_keyed_fingerprints(words), "doc_id long, bits long, text_key long")
+                       .dropDuplicates(["doc_id", "bits", "text_key"]), "keyed_prints")
+    nodes = materialize(rows.groupBy("bits").agg(F.min("doc_id").alias("id")), "nodes")
+    roots = components(links(nodes.where("id is not null"), distance))
+    named = nodes.join(roots, F.col("id") == F.col("node"), "left").select("bits", F.coalesce("root", "id").alias("component_id"))
+    grouped = rows.join(named, "bits")
+    keepers = materialize(grouped.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id").agg(
+        F.min(F.struct("bits", "text_key")).alias("k")).select(
+        F.col("component_id").alias("doc_id"), F.col("k.text_key").alias("__text_key")), "keepers")
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # Identical rows collapse before the join, so a row repeated a third of the time is one row here.
+    one_each = keyed.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "__text_key").agg(
+        F.min(F.struct(F.col("text"), *[F.col(f"`{c}`") for c in others])).alias("__r"))
+    kept = one_each.join(keepers, ["doc_id", "__text_key"], "left_semi").select(
+        "doc_id", *[F.col("__r").getField(c).alias(c) for c in ["text", *others]])
+    loose = keyed.where(F.col("doc_id").isNull()).drop("__text_key")
+    return kept.unionByName(loose).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _keyed_fingerprints(words: int):
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            bits = [fingerprint(t.as_py(), words) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64()), batch.column(2)],
+                                             names=["doc_id", "bits", "text_key"])
+
+    return run
