@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from winnow.operators.kv_store import BucketedStore, bucket_of
+from winnow.operators.kv_store import BucketedStore, bit_is_set, bit_mask, bucket_of
 
 
 def snapshot(spark, n=5_000, shift=0.0):
@@ -72,3 +72,10 @@ def test_expire_keeps_what_newer_versions_name(spark):
     store.expire(1)
     assert store.versions() == [1] and len(folders(path, 0)) == 15
     assert {(r.key, r.field): r.value for r in store.read().collect()} == before
+
+
+def test_filter_words_set_and_test_every_bit(spark):
+    bits = spark.range(64).select(F.col("id").cast("int").alias("bit"))
+    word = bits.where("bit in (0, 5, 63)").agg(F.bit_or(bit_mask(F.col("bit"))).alias("mask"))
+    found = bits.join(F.broadcast(word)).where(bit_is_set(F.col("mask"), F.col("bit")))  # one row
+    assert sorted(r.bit for r in found.collect()) == [0, 5, 63]

@@ -52,6 +52,15 @@ def bloom_positions(key, bits):
                                         lambda i: F.pmod(first + F.pmod(i.cast("long") * step, m), m)))
 
 
+def bit_mask(bit):
+    """A long with one bit set; ``F.shiftleft`` takes no column as the number of bits."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+
+
+def bit_is_set(mask, bit):
+    return F.call_function("shiftright", mask, bit).bitwiseAND(F.lit(1)) == 1
+
+
 def _fs(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -114,7 +123,7 @@ class BucketedStore:
         at = keys.join(F.broadcast(bits), "bucket").select(  # one row per touched bucket
             "bucket", F.explode(bloom_positions(F.col("key"), F.col("bits"))).alias("pos"))
         words = at.groupBy("bucket", F.floor(F.col("pos") / 64).alias("word")).agg(
-            F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.pmod(F.col("pos"), F.lit(64)).cast("int"))).alias("mask"))
+            F.bit_or(bit_mask(F.pmod(F.col("pos"), F.lit(64)).cast("int"))).alias("mask"))
         (words.withColumn("b", F.col("bucket")).repartition("bucket").write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.path}/bloom/v={version}"))
         # Buckets left empty by a write keep a filter of one word, so every manifest row names a filter.
@@ -172,7 +181,7 @@ class BucketedStore:
                                F.pmod(F.col("pos"), F.lit(64)).cast("int").alias("bit"))
         words = self.spark.read.schema("word long, mask long, b int").parquet(*self.last_blooms)
         hit = probes.join(words, (probes.bucket == words.b) & (probes.word == words.word), "left").select(
-            "key", "bucket", F.coalesce(F.shiftright(F.col("mask"), F.col("bit")).bitwiseAND(1) == 1, F.lit(False)).alias("set"))
+            "key", "bucket", F.coalesce(bit_is_set(F.col("mask"), F.col("bit")), F.lit(False)).alias("set"))
         maybe = hit.groupBy("key", "bucket").agg(F.bool_and("set").alias("maybe")).where("maybe")
         from winnow.runtime import materialize
 
