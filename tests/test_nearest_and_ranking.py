@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +48,34 @@ def test_exact_top_k_equals_brute_force(sides, metric, block_rows):
     assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=2e-6) for k in want)
 
 
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_items_in_chunks_give_the_same_hits(monkeypatch, metric):
+    monkeypatch.setattr(nearest, "_CHUNK", 16)
+    rng = np.random.default_rng(5)
+    items = rng.normal(size=(400, 6)).astype(np.float32)
+    items[300:] = items[:100]  # equal similarities in later chunks
+    queries = rng.normal(size=(30, 6)).astype(np.float32)
+    q = pd.DataFrame({"query_id": range(30), "vec": list(queries)})
+    i = pd.DataFrame({"item_id": range(400), "vec": list(items)})
+    s = nearest._similarity(queries.astype(float), items.astype(float), metric)
+    order = np.argsort(-s, axis=1, kind="stable")[:, :7]
+    got = nearest._block_top_k(q, i.sample(frac=1, random_state=1), 7, metric)
+    assert got["query_id"].tolist() == np.repeat(np.arange(30), 7).tolist()
+    assert got["item_id"].tolist() == order.ravel().tolist()
+    assert got["similarity"].to_numpy() == pytest.approx(np.take_along_axis(s, order, 1).ravel(), abs=2e-6)
+    # A vector without an order is no hit and hides none.
+    i.at[0, "vec"] = np.full(6, np.nan, np.float32)
+    assert 0 not in nearest._block_top_k(q, i, 7, metric)["item_id"].tolist()
+
+
+def test_a_task_holds_a_bounded_number_of_queries(sides, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERY_ROWS", 4)
+    cell = F.lit(0).alias("cell")
+    grid = nearest._block_grid(sides[0].select(cell, "query_id", "vec"), sides[1].select(cell, "item_id", "vec"), 1000, True)
+    counts = grid.applyInPandas(lambda q, i: pd.DataFrame({"q": [len(q)], "i": [len(i)]}), "q long, i long").collect()
+    assert len(counts) > 8 and sum(r.q for r in counts) == len(QUERIES) and max(r.i for r in counts) == len(ITEMS)
+
+
 def test_top_k_edges(sides):
     assert nearest.exact_top_k(*sides, 0).count() == 0
     assert nearest.exact_top_k(*sides, 1000, block_rows=20).count() == len(QUERIES) * len(ITEMS)
