@@ -173,3 +173,25 @@ def test_stream_joins_a_static_baseline(spark, tmp_path, log_files):
     report = drift_stream.latest(spark, out, ["window_start", "feature"])
     assert {r["severity"] for r in report.collect()} == {"alert"} and report.count() == 3
     assert drift_stream.windowed_summary(report).first()["num_alert"] == 3
+
+
+def test_publish_keeps_a_file_open_per_kind_instead_of_sorting(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from winnow.operators import lookup_tables
+
+    name, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    before = spark.conf.get(name, None)
+
+    def noted(self, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(name, "0")))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    rows = [(f"features:{e}:{i}:stats", "a", float(i)) for i in range(50) for e in ("user", "item")]
+    snapshot = spark.createDataFrame(rows, "key string, field string, value double").coalesce(1)
+    lookup_tables.publish(snapshot, str(tmp_path / "kv"))
+    assert seen and min(seen) >= 2 and spark.conf.get(name, None) == before
+    stored = spark.read.parquet(str(tmp_path / "kv"))
+    assert sorted((r.key, r.field, r.value, r.kind) for r in stored.collect()) == sorted(
+        (k, f, v, k.split(":")[1] + "_stats") for k, f, v in rows)
