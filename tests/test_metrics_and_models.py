@@ -181,3 +181,19 @@ def test_als_recall_fits_full_factors(spark, monkeypatch):
     monkeypatch.setattr(models, "fit_embeddings", noted)
     assert __spark_entry__.queries()["als_recall"](spark, "/root/testdata/sf0.001").first()["rises_with_k"]
     assert [(len(vec), options) for vec, options in fitted] == [(128, {})]
+
+
+def test_recall_searches_only_for_users_with_wanted_items(spark, monkeypatch):
+    users = spark.createDataFrame([(u, [1.0, float(u)]) for u in range(6)], "id long, vec array<double>")
+    items = spark.createDataFrame([(i, [1.0, -float(i)]) for i in range(4)], "id long, vec array<double>")
+    wanted = spark.createDataFrame([(2, 0), (2, 3), (5, 1), (9, 0)], "user_idx long, item_idx long")
+    asked, search = [], models.exact_top_k
+
+    def noted(queries, catalogue, k):
+        asked.append((sorted(r.query_id for r in queries.collect()), catalogue.count()))
+        return search(queries, catalogue, k)
+
+    monkeypatch.setattr(models, "exact_top_k", noted)
+    row = models.retrieval_recall(users, items, wanted, (1, 2)).first()
+    assert asked == [([2, 5], 4)]  # user 9 has no vector and recalls nothing
+    assert row["n_users"] == 3 and row["recall_1"] == pytest.approx(0.5 / 3) and row["recall_2"] == pytest.approx(1.5 / 3)
