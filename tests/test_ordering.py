@@ -196,3 +196,26 @@ def test_baseline_takes_two_scans_of_the_rows(spark):
         values = [v for f, v in rows if f == name]
         assert [got[name][c] for c in ("p05", "p25", "p50", "p75", "p95")] == pytest.approx(
             list(np.quantile(values, [0.05, 0.25, 0.5, 0.75, 0.95])), rel=1e-12)
+
+
+def test_slots_are_numbered_by_ends_in_columns(spark):
+    values = [-1.0, 0.0, 0.5, 1.0, 3.0, 7.0, float("inf")]
+    df = spark.createDataFrame([(v, 0.0, 1.0, 3.0, float("nan")) for v in values], "v double, e0 double, e1 double, e2 double, e3 double")
+    got = [r[0] for r in df.select(order_stats._slot(F.col("v"), ["e0", "e1", "e2", "e3"])).collect()]
+    assert got == [0, 1, 2, 3, 5, 6, 6]
+
+
+def test_values_inside_brackets_are_not_gathered_in_lists(spark, tmp_path):
+    """The second scan counts in plain hash aggregates; what it keeps apart stays a table."""
+    rows = [("f", float(i)) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "feature string, value double")
+    sketched = df.groupBy("feature").agg(*order_stats.bracket_aggregates("value", [0.5], 10)).cache()
+    kept = []
+    keep, order_stats.materialize = order_stats.materialize, lambda d, n="stage": kept.append(d) or keep(d, n)
+    try:
+        found = order_stats.bracketed_quantiles(df, "feature", "value", [0.5], sketched, accuracy=10).first()
+    finally:
+        order_stats.materialize = keep
+    assert found["quantiles"] == [999.5]
+    plan = kept[0]._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "ObjectHashAggregate" not in plan and "collect_list" not in plan

@@ -33,3 +33,11 @@ def histogram_bin(value: Column, edges: Column) -> Column:
     """
     at_or_below = F.size(F.filter(edges, lambda e: value >= e)) - 1
     return F.greatest(F.lit(0), F.least(at_or_below, F.size(edges) - 2))
+
+
+def histogram_bin_of(value: Column, edges: Sequence[Column], size: Column) -> Column:
+    """``histogram_bin`` for edges in columns, null beyond the ``size`` that a row has."""
+    at_or_below = F.lit(-1)
+    for edge in edges:
+        at_or_below = at_or_below + F.coalesce((value >= edge).cast("int"), F.lit(0))
+    return F.greatest(F.lit(0), F.least(at_or_below, size - 2))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from winnow.functions import drift as d
-from winnow.functions.binning import histogram_bin
+from winnow.functions.binning import histogram_bin_of
 from winnow.operators.order_stats import bracket_aggregates, bracketed_quantiles
 from winnow.runtime import materialize
 
@@ -71,9 +71,12 @@ def histogram(long: DataFrame, edges: DataFrame) -> DataFrame:
 
     ``edges`` has one row per feature with at most a few dozen numbers.
     """
+    # Edges as columns are compared in generated code; an array would be walked row by row.
+    width = edges.agg(F.max(F.size("edges"))).first()[0] or 0
+    cuts = edges.select("feature", F.size("edges").alias("__size"), *[F.get("edges", F.lit(i)).alias(f"__e{i}") for i in range(width)])
     counts = (
-        _usable(long).join(F.broadcast(edges), "feature")
-        .groupBy("feature", histogram_bin(F.col("value"), F.col("edges")).alias("bin"))
+        _usable(long).join(F.broadcast(cuts), "feature")
+        .groupBy("feature", histogram_bin_of(F.col("value"), [F.col(f"__e{i}") for i in range(width)], F.col("__size")).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
