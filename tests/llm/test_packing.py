@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from winnow.llm import packing
 from winnow.llm.table_queries import op7_packing, word_vocabulary
-from winnow.llm.tokens import WordTokens
+from winnow.llm.tokens import WordTokens, word_tokens
 
 
 @pytest.fixture(scope="module")
@@ -113,3 +113,7 @@ def test_repeated_rows_and_empty_table(documents, whole):
     rows = packing.pack_documents(documents([(1, "same"), (1, "same"), (None, "x")]), word_vocabulary()).collect()
     assert len(rows) == 3
     assert packing.pack_documents(documents([(1, "a")]).limit(0), word_vocabulary()).count() == 0
+
+
+def test_an_encoder_is_built_once_per_worker():
+    assert word_tokens(word_vocabulary()) is word_tokens(word_vocabulary())

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnow.llm.tokens import WordTokens
+from winnow.llm.tokens import word_tokens
 from winnow.runtime import materialize
 
 CAPACITY = 2048
@@ -49,7 +49,7 @@ def _cut(path: str, capacity: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        tokens = WordTokens(path)
+        tokens = word_tokens(path)
         end = END_ID.to_bytes(4, "little")
         for batch in batches:
             rows = []

@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import json
 import re
-
-import numpy as np
+from functools import lru_cache
+from struct import pack
 
 MOST_CHUNKS = 200_000
 # Letters that NFC leaves alone and that have one lower-case letter each.
@@ -31,6 +31,12 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+@lru_cache(maxsize=2)
+def word_tokens(path: str) -> WordTokens:
+    """The encoder of a vocabulary file, built once per Python worker and kept for its later tasks."""
+    return WordTokens(path)
+
+
 class WordTokens:
     """Ids of whole texts as little-endian 32-bit bytes."""
 
@@ -72,7 +78,7 @@ class WordTokens:
             ids = [i for part in m.groups() if part for i in self.piece(part.lower().encode() + self.END)]
         else:
             ids = self.whole.encode(chunk, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         parts = re.split(ASCII_SPACE, text) if OTHER_SPACE.search(text) else text.split()
