@@ -197,3 +197,26 @@ def test_recall_searches_only_for_users_with_wanted_items(spark, monkeypatch):
     row = models.retrieval_recall(users, items, wanted, (1, 2)).first()
     assert asked == [([2, 5], 4)]  # user 9 has no vector and recalls nothing
     assert row["n_users"] == 3 and row["recall_1"] == pytest.approx(0.5 / 3) and row["recall_2"] == pytest.approx(1.5 / 3)
+
+
+def test_ndcg_lists_rows_once_and_keeps_null_keys(spark):
+    rows = [(None, 1, 5.0, 1.0), (None, 2, 3.0, 2.0), (1, 1, 4.0, 2.0), (1, 2, None, 3.0), (1, 3, 4.0, 1.0)]
+    found = metrics.ndcg_per_user(spark.createDataFrame(rows, SCHEMA), (10,))
+    assert "explode" not in found._jdf.queryExecution().analyzed().toString()
+    got = {r["user_id"]: r["ndcg_10"] for r in found.collect()}
+    assert got[None] == pytest.approx((3 + 5 / log2(3)) / (5 + 3 / log2(3)))
+    assert got[1] == pytest.approx((4 / log2(3) + 4 / 2) / (4 + 4 / log2(3)))
+
+
+def test_fits_store_only_the_columns_they_use(spark, monkeypatch, tmp_path):
+    from winnow.catalog import model_queries
+
+    class Parts:
+        def matrix(self, rows, keep):
+            return rows.select(*keep)
+
+    row = spark.createDataFrame([(1, 2, 3, "train", 9)], "user_id long, item_id long, rating int, split string, price_cents long")
+    monkeypatch.setattr(model_queries, "split", lambda spark, sf: row)
+    monkeypatch.setattr(model_queries, "parts", lambda spark, sf, data: Parts())
+    monkeypatch.setattr(model_queries, "materialize", lambda df: df)
+    assert model_queries._data(spark, "")[1].columns == ["user_id", "item_id", "rating", "split"]
