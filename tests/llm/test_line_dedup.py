@@ -103,3 +103,51 @@ def test_bands_find_similar_lines():
             keys = line_dedup.band_keys(line_dedup.signatures([a, b]))
             found += bool((keys[0] == keys[1]).any())
     assert total > 200 and found >= 0.97 * total
+
+
+@pytest.mark.parametrize("entry", [2, 1_000])
+def test_entries_over_several_batches(monkeypatch, entry):
+    pa = pytest.importorskip("pyarrow")
+    monkeypatch.setattr(line_dedup, "ENTRY", entry)
+    rng = random.Random(3)
+    rows = sorted(((rng.choice([1, 2, 2, 2, 5, 7, *range(20, 60)]), rng.randrange(12)) for _ in range(200)), key=lambda r: r[0])
+    for width in (1, 3, 50, 200):
+        batches = [pa.record_batch([[r[k] for r in rows[i:i + width]] for k in (0, 1)], names=["key", "h"]) for i in range(0, 200, width)]
+        got = [tuple(r.values()) for b in line_dedup._members(iter(batches)) for r in b.to_pylist()]
+        of = {key: {h for k, h in rows if k == key} for key, _ in rows}
+        reps = {key: {r for k, _, r in got if k == key} for key in of}
+        assert all(len(reps[key]) == (len(hs) > 1) and reps[key] <= hs for key, hs in of.items())
+        assert set(got) == {(key, h, rep) for key, hs in of.items() for rep in reps[key] for h in hs - {rep}}
+        if entry == 1_000:
+            assert len(got) == len(set(got)) and all(rep == min(of[key]) for key, _, rep in got)
+
+
+@pytest.mark.parametrize("held", [300, 1_000_000])
+def test_cells_are_joined_as_pair_by_pair(monkeypatch, held):
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(5))
+    lines = []
+    for _ in range(12):
+        base = [word() for _ in range(25)]
+        for _ in range(4):
+            lines.append(" ".join([*base, *(word() for _ in range(rng.randrange(6)))]))
+    rng.shuffle(lines)
+    sets = line_dedup.shingle_sets(lines)
+    assert all(s.tolist() == sorted(set(s.tolist())) for s in sets)
+    assert [len(s) for s in sets] == [len({x[i:i + 6] for i in range(max(1, len(x) - 5))}) for x in lines]
+    for two in (False, True):
+        cell = [(k % 2 if two else 0, k, k, x, s if held > 300 else None) for k, (x, s) in enumerate(zip(lines, sets))]
+        near = {(a, b) for a in range(48) for b in range(48) if line_dedup.similar(sets[a], sets[b]) and (
+            a % 2 == 0 and b % 2 == 1 if two else a < b)}
+        links = line_dedup.across(cell)
+        assert set(links) <= near
+
+        def groups(edges):
+            root = list(range(48))
+            for a, b in edges:
+                old, new = root[b], root[a]
+                root = [new if r == old else r for r in root]
+            return {frozenset(k for k in range(48) if root[k] == r) for r in root}
+
+        assert groups(links) == groups(near) and len(links) == 48 - len(groups(near))

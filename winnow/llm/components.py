@@ -1,7 +1,8 @@
 """Connected components of a graph given as edges.
 
-Tasks first reduce their own edges to a spanning forest by union-find.  The forests are
-then joined by rounds of star contraction: every node points its larger neighbours at
+Tasks first reduce their own edges to a spanning forest by union-find, and fewer tasks reduce
+the forests of several, so that few rounds are left.  What remains is
+joined by rounds of star contraction: every node points its larger neighbours at
 its smallest one, then its smaller ones, until each component is one star around its
 smallest node.  Edges stay distributed throughout; each half round is one aggregate and
 one join, both written to shared storage, and the round before is deleted.
@@ -23,6 +24,8 @@ from winnow.runtime import materialize, release
 
 EDGES = "u long, v long"
 TASK_EDGES = 2_000_000
+# Edges per task of the second reduction.
+FOREST_EDGES = 200_000
 
 
 def find_roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +75,10 @@ def local_forest(edges: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of the edges; the root is its component's smallest node."""
-    current = materialize(local_forest(edges.where("u is not null and v is not null and u <> v")).distinct(), "stars")
+    forest = materialize(local_forest(edges.where("u is not null and v is not null and u <> v")), "forest")
+    tasks = max(2, -(-forest.count() // FOREST_EDGES))
+    current = materialize(local_forest(forest.coalesce(tasks)).distinct(), "stars")
+    release(forest)
     while not _is_stars(current):
         current = _half(_half(current, large=True), large=False)
     stars = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
