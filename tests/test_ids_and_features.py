@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from winnow.functions.hashing import coprime_strides
 from winnow.operators import features as f
 from winnow.operators import ids, profile
 from winnow.plans import feature_table
+from winnow.runtime import materialize
 
 ROWS = [
     (1, 10, 5, "train"), (1, 11, 3, "train"), (2, 10, 4, "train"), (3, 12, 2, "train"),
@@ -126,6 +130,66 @@ def test_negatives_of_a_saturated_user_list_the_catalogue_once(spark):
     assert listed.count() == 3
 
 
+def _walks(seen, n_items, per_positive, seed=7):
+    """Negatives by plain Python: ``{(user, item): [...]}`` of ``{user: items}``."""
+    stride = coprime_strides(n_items, 1)[0][0]
+    out = {}
+    for u, items in seen.items():
+        for i in items:
+            start = int(hashlib.md5(f"{seed}|{u}|{i}".encode()).hexdigest()[:8], 16) % n_items
+            walk = ((start + r * stride) % n_items for r in range(n_items))
+            free = [x for x in walk if x not in items][:per_positive]
+            out |= {(u, i): free} if free else {}
+    return out
+
+
+def _sampled(pairs, n_items, per_positive):
+    out = {}
+    for r in sorted(ids.negative_samples(pairs, n_items, per_positive).collect(), key=lambda r: r["n"]):
+        out.setdefault((r["user_idx"], r["item_idx"]), []).append(r["neg_idx"])
+        assert r["n"] == len(out[r["user_idx"], r["item_idx"]])
+    return out
+
+
+@pytest.mark.parametrize("listed", [0, 12, 1_000])
+def test_negatives_are_the_first_unseen_of_each_walk(spark, monkeypatch, listed):
+    monkeypatch.setattr(ids, "_LISTED", listed)
+    # Few and many positives, runs along the walk that need a second one, few and no unseen items.
+    n_items = 101
+    stride = coprime_strides(n_items, 1)[0][0]
+    start = int(hashlib.md5(b"7|4|50").hexdigest()[:8], 16) % n_items
+    seen = {0: {3}, 1: set(range(0, 101, 3)), 2: set(range(95)), 3: set(range(101)),
+            4: {50} | {(start + r * stride) % n_items for r in range(11)}, 5: set(range(40)), 6: set(range(20, 32))}
+    rows = [(u, i) for u, items in seen.items() for i in items]
+    pairs = spark.createDataFrame(rows + rows[:30], "user_idx long, item_idx long")
+    assert _sampled(pairs, n_items, 4) == _walks(seen, n_items, 4)
+    assert _sampled(pairs, n_items, 40) == _walks(seen, n_items, 40)
+    assert _sampled(pairs.where("item_idx = 0"), 1, 4) == {}
+
+
+def test_candidates_of_short_lists_are_not_shuffled(spark, monkeypatch):
+    rows = {}
+
+    def stored(df, name="stage"):
+        out = materialize(df, name)
+        rows.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(ids, "materialize", stored)
+    pairs = spark.range(2_000).selectExpr("id % 100 AS user_idx", "id AS item_idx")
+    out = ids.negative_samples(pairs, 2_000, per_positive=4)
+    assert "negatives" not in rows and rows["short"] == [0]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert out.count() == 8_000
+    # One long list among them: only its pairs go through the join and the window.
+    rows.clear()
+    long_list = spark.range(1_500).selectExpr("100L AS user_idx", "id AS item_idx")
+    out = ids.negative_samples(pairs.unionByName(long_list), 2_000, per_positive=4)
+    assert rows["short"][0] == 1_500 and max(rows["negatives"]) <= 6_000
+    assert out.count() == 14_000
+
+
 def test_residues_of_large_catalogues(spark):
     from winnow.functions.hashing import times_modulo
 
