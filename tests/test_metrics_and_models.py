@@ -220,3 +220,41 @@ def test_fits_store_only_the_columns_they_use(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(model_queries, "parts", lambda spark, sf, data: Parts())
     monkeypatch.setattr(model_queries, "materialize", lambda df: df)
     assert model_queries._data(spark, "")[1].columns == ["user_id", "item_id", "rating", "split"]
+
+
+def test_trees_are_fitted_whole_and_kept_to_the_least_validation_loss(spark):
+    from pyspark.ml.regression import GBTRegressor
+
+    rng = np.random.default_rng(3)
+    rows = [(float(a), float(b), float(0.5 * a + 0.25 * b + n), s)  # noise hides most of what a tree gains
+            for s, k in (("train", 600), ("val", 300)) for a, b, n in rng.normal(size=(k, 3))]
+    df = spark.createDataFrame(rows, "a double, b double, rating double, split string").coalesce(1)
+    params = {"maxIter": 12, "maxDepth": 2, "stepSize": 0.02}
+    model = models.fit_boosted_trees(df, ["a", "b"], params)
+    train, val = (models.assemble(df.where(F.col("split") == s), ["a", "b"]) for s in ("train", "val"))
+    whole = GBTRegressor(featuresCol="features", labelCol="rating", **{**models.GBT_DEFAULTS, **params}).fit(train)
+    loss = whole.evaluateEachIteration(val, "squared")
+    assert model.getNumTrees == 1 + int(np.argmin(loss)) > 2
+    assert model.treeWeights == whole.treeWeights[:model.getNumTrees] and model.getMaxDepth() == 2
+    got = model.transform(val).selectExpr("avg(pow(rating - prediction, 2))").first()[0]
+    assert got == pytest.approx(min(loss)) and model.featureImportances.toArray().sum() == pytest.approx(1)
+    short = models.first_trees(whole, 3)
+    assert short.getNumTrees == 3 and short.evaluateEachIteration(val, "squared") == pytest.approx(loss[:3])
+    # Without validation rows nothing stops the fit.
+    assert models.fit_boosted_trees(df.where("split = 'train'"), ["a", "b"], {**params, "maxIter": 3}).getNumTrees == 3
+
+
+@pytest.mark.parametrize("name", ["gbt_predictions"])
+def test_tree_queries_fit_full_trees(spark, monkeypatch, name):
+    import __spark_entry__
+
+    class Fitted(Exception):
+        pass
+
+    def noted(features, columns, params=None, label="rating"):
+        raise Fitted({**models.GBT_DEFAULTS, **(params or {})})
+
+    monkeypatch.setattr(models, "fit_boosted_trees", noted)
+    with pytest.raises(Fitted) as fitted:
+        __spark_entry__.queries()[name](spark, "/root/testdata/sf0.001")
+    assert fitted.value.args[0]["maxIter"] == 100 and fitted.value.args[0]["maxDepth"] == 6
