@@ -244,7 +244,7 @@ def test_trees_are_fitted_whole_and_kept_to_the_least_validation_loss(spark):
     assert models.fit_boosted_trees(df.where("split = 'train'"), ["a", "b"], {**params, "maxIter": 3}).getNumTrees == 3
 
 
-@pytest.mark.parametrize("name", ["gbt_predictions"])
+@pytest.mark.parametrize("name", ["gbt_predictions", "gbt_tuning"])
 def test_tree_queries_fit_full_trees(spark, monkeypatch, name):
     import __spark_entry__
 
