@@ -85,3 +85,24 @@ def test_query_equals_sql(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf}/embeddings.parquet')")
     want = sorted(tuple(r) for r in con.execute(OP12_SQL).fetchall())
     assert got == want and len(got) > 0
+
+
+def test_pairs_of_blocks_stay_few_and_scores_exact_beyond_32_bits(spark):
+    # 4 million vectors, 80,000 anchors: 40 x 62 pairs where blocks of 256 and 4,096 rows made 306,000.
+    n_a, n_c = hn._block_count(80_000, hn.ANCHOR_BLOCK, hn.ANCHOR_BLOCK, 1), hn._block_count(4_000_000, hn.CANDIDATE_BLOCK, hn.LEAST_BLOCK, 36)
+    assert n_a * n_c < 3_000 and hn._block_count(10_256, hn.CANDIDATE_BLOCK, hn.LEAST_BLOCK, 36) == 3
+    anchors = spark.createDataFrame([(0, [1])], "anchor_block long, anchors array<long>")
+    candidates = spark.createDataFrame([(0, [1])], "candidate_block int, candidates array<long>")
+    assert hn._paired(anchors, candidates, 313, 977).rdd.getNumPartitions() <= hn.PAIR_PARTITIONS
+    rng = np.random.default_rng(4)
+    a, c = rng.integers(-2**22, 2**22, (70, 16)), rng.integers(-2**20, 2**20, (2 * hn._CHUNK + 5, 16))
+    planes = (2 * 2**20).bit_length()
+    got = hn.four_russians(hn.subset_tables(a), hn.plane_bytes(c + 2**20, planes), -2**20, a.sum(axis=1))
+    assert (got == a @ c.T).all() and np.abs(got).max() > 2**31
+
+
+def test_anchors_beyond_a_strip_match_brute_force(spark):
+    rng = np.random.default_rng(6)
+    rows = [(int(i) * 50, [float(x) for x in v], int(i) % 3) for i, v in enumerate(rng.uniform(-0.5, 0.5, (2 * hn.STRIP + 9, 8)))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert as_tuples(hn.mine(df)) == sorted(hn.brute_force([(r.vec_id, r.label, r.embedding) for r in df.collect()]))

@@ -9,9 +9,10 @@ read from the tables at its plane bytes and the planes are shifted and added:
 
     score = sum_b 2**b * sum_g T[g, byte(c, b, g)] + offset * sum(anchor)
 
-which is exact in integers.  Anchors meet candidates in blocks: anchor blocks of
-``ANCHOR_BLOCK`` rows are paired with candidate blocks of ``CANDIDATE_BLOCK`` rows,
-each pair in a task.  A first pass keeps each anchor's best five rows of its label per
+which is exact in integers.  Anchors meet candidates in blocks: anchor blocks of about
+``ANCHOR_BLOCK`` rows are paired with candidate blocks of about ``CANDIDATE_BLOCK`` rows
+(fewer where the session would be idle), each pair scored in one task, a strip of
+anchors after the other.  A first pass keeps each anchor's best five rows of its label per
 block, a window keeps the best five of all blocks; the second pass scores again and
 keeps, per anchor and positive, the best three rows of other labels inside the band of
 that positive's score, and a window keeps the best three of all blocks.  Blocks are
@@ -45,9 +46,14 @@ LABELS = 10
 POSITIVES = 5
 NEGATIVES = 3
 BAND = (50, 95)  # percent of the positive's score
-# Block sizes: they bound a task's memory, not the work.
-ANCHOR_BLOCK = 256
-CANDIDATE_BLOCK = 4096
+# Block sizes: they bound a task's memory, not the work.  Every block is copied once per
+# block of the other side, so what is shuffled, and the number of pairs, falls with them.
+ANCHOR_BLOCK = 2_048
+CANDIDATE_BLOCK = 65_536
+LEAST_BLOCK = 4_096  # candidates of a block that more tasks would not make smaller
+PAIR_PARTITIONS = 8_192  # pairs beyond share partitions
+STRIP = 64  # anchors scored at once against a block
+_CHUNK = 2_048  # candidates scored at once, a size that stays in the cache
 GROUP = 8
 
 OUT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
@@ -93,13 +99,21 @@ def subset_tables(anchors: np.ndarray) -> np.ndarray:
 def four_russians(tables: np.ndarray, bytes_: np.ndarray, offset: int, anchor_sums: np.ndarray) -> np.ndarray:
     """Exact scores ``(anchors, candidates)`` from subset tables and candidates' plane bytes."""
     n_a, groups, _ = tables.shape
-    scores = np.zeros((n_a, len(bytes_)), np.int64)
-    for b in range(bytes_.shape[1]):
-        plane = np.zeros((n_a, len(bytes_)), np.int64)
-        for g in range(groups):
-            plane += np.take(tables[:, g, :], bytes_[:, b, g], axis=1)
-        scores += plane << b
-    return scores + offset * anchor_sums[:, None]
+    planes = bytes_.shape[1]
+    largest = int(np.abs(tables).max(axis=2, initial=0).sum(axis=1).max(initial=0)) << planes
+    # A candidate's byte picks a row of the anchors' sums, which lie side by side.
+    sums = np.ascontiguousarray(tables.transpose(1, 2, 0), np.int32 if largest < 1 << 31 else np.int64)
+    out = np.empty((n_a, len(bytes_)), np.int64)
+    for at in range(0, len(bytes_), _CHUNK):
+        picks = np.ascontiguousarray(bytes_[at: at + _CHUNK].transpose(1, 2, 0), np.intp)
+        scores = np.zeros((picks.shape[2], n_a), sums.dtype)
+        picked = np.empty_like(scores)
+        for b in reversed(range(planes)):
+            scores <<= 1
+            for g in range(groups):
+                scores += np.take(sums[g], picks[b, g], axis=0, out=picked, mode="clip")
+        out[:, at: at + _CHUNK] = scores.T
+    return out + offset * anchor_sums[:, None]
 
 
 def _best(order_scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, mask: np.ndarray, k: int) -> np.ndarray:
@@ -117,8 +131,9 @@ def _pair_tasks(width: int, planes: int, offset: int, second: bool):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        names = (["a_row", "row", "vec_id", "score"] if not second else
+                 ["a_row", "anchor_id", "p_row", "positive_id", "positive_score", "n_row", "negative_id", "negative_score"])
         for batch in batches:
-            out: list[tuple] = []
             for i in range(batch.num_rows):
                 a = batch.column("anchors")[i].values
                 c = batch.column("candidates")[i].values
@@ -126,26 +141,30 @@ def _pair_tasks(width: int, planes: int, offset: int, second: bool):
                 a_vec = _padded(a.field("q"), width)
                 c_row = c.field("row").to_numpy(); c_id = c.field("vec_id").to_numpy(); c_label = c.field("label").to_numpy()
                 c_bytes = np.frombuffer(b"".join(c.field("planes").to_pylist()), np.uint8).reshape(len(c_row), planes, width // GROUP)
-                scores = four_russians(subset_tables(a_vec), c_bytes, offset, a_vec.sum(axis=1))
-                if not second:
-                    for j in range(len(a_row)):
-                        mask = (c_label == a_label[j]) & (c_row != a_row[j])
-                        for p in _best(scores[j], c_id, c_row, mask, POSITIVES):
-                            out.append((int(a_row[j]), int(c_row[p]), int(c_id[p]), int(scores[j, p])))
-                    continue
-                positives = a.field("positives")
-                for j in range(len(a_row)):
-                    other = c_label != a_label[j]
-                    for pos in positives[j].as_py() or []:
-                        ps = pos["score"]
-                        band = other & (BAND[0] * ps <= 100 * scores[j]) & (100 * scores[j] <= BAND[1] * ps)
-                        for p in _best(scores[j], c_id, c_row, band, NEGATIVES):
-                            out.append((int(a_row[j]), int(a_id[j]), int(pos["row"]), int(pos["vec_id"]), ps,
-                                        int(c_row[p]), int(c_id[p]), int(scores[j, p])))
-            names = (["a_row", "row", "vec_id", "score"] if not second else
-                     ["a_row", "anchor_id", "p_row", "positive_id", "positive_score", "n_row", "negative_id", "negative_score"])
-            columns = list(zip(*out)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(col, pa.int64()) for col in columns], names=names)
+                out: list[list] = [[] for _ in names]
+
+                def put(at: np.ndarray, scores: np.ndarray, *same) -> None:
+                    for column, value in zip(out, same):
+                        column.append(np.full(len(at), value, np.int64))
+                    for column, values in zip(out[len(same):], (c_row, c_id, scores)):
+                        column.append(values[at])
+
+                for lo in range(0, len(a_row), STRIP):
+                    part = a_vec[lo: lo + STRIP]
+                    scored = four_russians(subset_tables(part), c_bytes, offset, part.sum(axis=1))
+                    for j, scores in enumerate(scored, lo):
+                        if not second:
+                            mask = (c_label == a_label[j]) & (c_row != a_row[j])
+                            put(_best(scores, c_id, c_row, mask, POSITIVES), scores, a_row[j])
+                            continue
+                        other = c_label != a_label[j]
+                        for pos in a.field("positives")[j].as_py() or []:
+                            ps = pos["score"]
+                            low, high = -(-BAND[0] * ps // 100), BAND[1] * ps // 100
+                            band = other & (low <= scores) & (scores <= high)
+                            put(_best(scores, c_id, c_row, band, NEGATIVES), scores, a_row[j], a_id[j], pos["row"], pos["vec_id"], ps)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(column) if column else [], pa.int64()) for column in out], names=names)
 
     return run
 
@@ -164,16 +183,21 @@ def _pack(width: int, planes: int, offset: int):
     return run
 
 
-def _blocks(rows: DataFrame, block: int, count: int, name: str, fields: list[str]) -> tuple[DataFrame, int]:
-    n_blocks = max(1, -(-count // block))
+def _block_count(rows: int, most: int, least: int, tasks: int) -> int:
+    """Blocks of at most about ``most`` rows; smaller ones, down to ``least`` rows, as long as they are fewer than ``tasks``."""
+    return max(1, -(-rows // most), min(-(-rows // least), tasks))
+
+
+def _blocks(rows: DataFrame, n_blocks: int, name: str, fields: list[str]) -> DataFrame:
     keyed = rows.withColumn(name, F.pmod(F.xxhash64("row", F.lit(name)), F.lit(n_blocks)))
-    return keyed.groupBy(name).agg(F.collect_list(F.struct(*fields)).alias(name.split("_")[0] + "s")), n_blocks
+    return keyed.groupBy(name).agg(F.collect_list(F.struct(*fields)).alias(name.split("_")[0] + "s"))
 
 
 def _paired(anchors: DataFrame, candidates: DataFrame, n_a: int, n_c: int) -> DataFrame:
-    """One row per (anchor block, candidate block), each in a partition of its own as far as hashing allows."""
+    """One row per (anchor block, candidate block), each in a partition of its own as far as hashing and their number allow."""
     spread = anchors.withColumn("candidate_block", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))))
-    return spread.join(candidates, "candidate_block").repartition(n_a * n_c, "anchor_block", "candidate_block")
+    return spread.join(candidates, "candidate_block").repartition(
+        min(n_a * n_c, PAIR_PARTITIONS), "anchor_block", "candidate_block")
 
 
 def mine(emb: DataFrame) -> DataFrame:
@@ -189,10 +213,13 @@ def mine(emb: DataFrame) -> DataFrame:
     planes = max(1, (max(stats.high if stats.high is not None else 0, 0) - offset).bit_length())
     packed = materialize(valid.select("row", "vec_id", "label", "q").mapInArrow(
         _pack(width, planes, offset), "row long, vec_id long, label long, planes binary"), "hard_negative_planes")
-    candidates, n_c = _blocks(packed, CANDIDATE_BLOCK, stats.n, "candidate_block", ["row", "vec_id", "label", "planes"])
+    tasks = 3 * emb.sparkSession.sparkContext.defaultParallelism
+    n_c = _block_count(stats.n, CANDIDATE_BLOCK, min(LEAST_BLOCK, CANDIDATE_BLOCK), tasks)
+    n_a = _block_count(stats.anchors, ANCHOR_BLOCK, ANCHOR_BLOCK, 1)
+    candidates = _blocks(packed, n_c, "candidate_block", ["row", "vec_id", "label", "planes"])
     candidates = materialize(candidates, "hard_negative_blocks")
     anchors = valid.where(F.col("vec_id") % ANCHOR_EVERY == 0)
-    a_blocks, n_a = _blocks(anchors, ANCHOR_BLOCK, stats.anchors, "anchor_block", ["row", "vec_id", "label", "q"])
+    a_blocks = _blocks(anchors, n_a, "anchor_block", ["row", "vec_id", "label", "q"])
 
     first = _paired(a_blocks, candidates, n_a, n_c).mapInArrow(
         _pair_tasks(width, planes, offset, second=False), "a_row long, row long, vec_id long, score long")
@@ -201,7 +228,7 @@ def mine(emb: DataFrame) -> DataFrame:
         "row", "vec_id", "score")).alias("positives")), "hard_negative_positives")
 
     with_pos = anchors.join(positives, anchors["row"] == positives["a_row"], "left").drop("a_row")
-    a_blocks, _ = _blocks(with_pos, ANCHOR_BLOCK, stats.anchors, "anchor_block", ["row", "vec_id", "label", "q", "positives"])
+    a_blocks = _blocks(with_pos, n_a, "anchor_block", ["row", "vec_id", "label", "q", "positives"])
     second = _paired(a_blocks, candidates, n_a, n_c).mapInArrow(
         _pair_tasks(width, planes, offset, second=True),
         "a_row long, anchor_id long, p_row long, positive_id long, positive_score long, n_row long, negative_id long, negative_score long")
