@@ -68,6 +68,24 @@ def test_items_in_chunks_give_the_same_hits(monkeypatch, metric):
     assert 0 not in nearest._block_top_k(q, i, 7, metric)["item_id"].tolist()
 
 
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_only_a_short_first_chunk_is_computed_in_double_precision(monkeypatch, metric):
+    seen, nearness = [], nearest._nearness
+
+    def noted(q, items, metric):
+        seen.append((items.dtype.itemsize, len(items)))
+        return nearness(q, items, metric)
+
+    rng = np.random.default_rng(8)
+    items, queries = rng.integers(-3, 4, (20_000, 3)).astype(float), rng.integers(-3, 4, (5, 3)).astype(float)  # many ties
+    s = nearest._similarity(queries, items, metric)
+    want = np.argsort(-s, axis=1, kind="stable")[:, :10]
+    monkeypatch.setattr(nearest, "_nearness", noted)
+    rows, cols, values = nearest._strip_top_k(queries, items, items.astype(np.float32), 10, metric)
+    assert cols.reshape(5, 10).tolist() == want.tolist() and values.tolist() == np.take_along_axis(s, want, 1).ravel().tolist()
+    assert seen[0] == (8, 2_048) and all(size == 4 for size, _ in seen[1:]) and sum(n for _, n in seen) == 20_000
+
+
 def test_a_task_holds_a_bounded_number_of_queries(sides, monkeypatch):
     monkeypatch.setattr(nearest, "QUERY_ROWS", 4)
     cell = F.lit(0).alias("cell")
